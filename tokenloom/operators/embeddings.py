@@ -18,8 +18,9 @@ def cooccurrence_counts(
     """How often two tokens stand at most ``distance`` apart: ``(word, context, n)``, both directions.
 
     Pairs are formed inside each segment and counted unordered, with partial sums before the only shuffle; the two
-    directions are mirrored afterwards. ``vocabulary`` (column ``word``) restricts both sides: before counting if it was
-    counted to be small enough to broadcast, else after counting by ordinary joins on the much smaller pair table.
+    directions are mirrored afterwards. ``vocabulary`` (column ``word``) restricts both sides; if it also has ``token``,
+    the result names words by these short ids. That happens before counting if the vocabulary was counted to be small
+    enough to broadcast, else after counting, by ordinary joins of the much smaller pair table.
     """
     pairs = forward_pairs(segments, distance)
     early = vocabulary is not None and fits(vocabulary, broadcast_rows)
@@ -39,10 +40,14 @@ def cooccurrence_counts(
 
 
 def _restrict(pairs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    known = vocabulary.select(F.col("word").alias("_word"))
-    return pairs.join(known, F.col("a") == F.col("_word"), "left_semi").join(
-        known, F.col("b") == F.col("_word"), "left_semi"
-    )
+    """Pairs whose sides are both in the vocabulary, under its ids where it has any."""
+    for side in ("a", "b"):
+        if "token" in vocabulary.columns:
+            known = vocabulary.select(F.col("word").alias(side), F.col("token").alias("id"))
+            pairs = pairs.join(known, side).drop(side).withColumnRenamed("id", side)
+        else:
+            pairs = pairs.join(vocabulary.select(F.col("word").alias(side)), side, "left_semi")
+    return pairs
 
 
 def random_index(cooccurrence: DataFrame, size: int, key: str = "word") -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.session import materialise
@@ -15,8 +17,8 @@ def global_index(df: DataFrame, *order: str, name: str = "idx") -> DataFrame:
     """Number rows 0, 1, 2, … by ``order``, which must identify a row.
 
     Rows are range-partitioned and sorted within partitions; the place of each row in its partition is written down
-    with it, so the second step (add the sizes of the preceding partitions) cannot see another partitioning. Only one
-    row per partition takes part in the running sum.
+    with it, so the second step (add the sizes of the preceding partitions) cannot see another partitioning. The driver
+    sees one number per partition.
     """
     local = materialise(
         df.repartitionByRange(*order)
@@ -27,12 +29,11 @@ def global_index(df: DataFrame, *order: str, name: str = "idx") -> DataFrame:
             F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_BITS)).alias("_local"),
         )
     )
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        local.groupBy("_part")
-        .agg(F.count("*").alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
+    sizes = sorted(local.groupBy("_part").agg(F.count("*").alias("n")).collect())
     # One row per partition of a single exchange: bounded by the partition count, not by the data.
+    totals = accumulate((row.n for row in sizes), initial=0)
+    offsets = df.sparkSession.createDataFrame(
+        [(row["_part"], total) for row, total in zip(sizes, totals)], "_part int, _offset long"
+    )
     numbered = local.join(F.broadcast(offsets), "_part")
     return numbered.select(*df.columns, (F.col("_offset") + F.col("_local")).alias(name))

@@ -28,6 +28,7 @@ _RANK_DECIMALS = 10
 _SLACK = 1e-9
 _MAX_PIVOTS = 1024
 _QUERY_ROWS = 512
+_MIN_BLOCK = 512
 
 
 def top_similar(vectors: DataFrame, key: str, vector: str, k: int, block_rows: int = 4096) -> DataFrame:
@@ -92,7 +93,7 @@ def _nearest_classes(classes: DataFrame, k: int, block_rows: int) -> DataFrame:
     n = classes.count()
     if n == 0:
         return spark.createDataFrame([], f"rep {id_type}, other {id_type}, score_key double, score double")
-    rows = max(64, min(block_rows, math.ceil(n / spark.sparkContext.defaultParallelism)))
+    rows = min(block_rows, max(_MIN_BLOCK, math.ceil(n / spark.sparkContext.defaultParallelism)))
 
     pivots = min(_MAX_PIVOTS, math.ceil(n / rows))
     chosen = classes.orderBy(F.xxhash64("rep"), "rep").select("unit").limit(pivots).collect()

@@ -10,13 +10,16 @@ import string
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions import text as tx
 from tokenloom.operators.counts import pretoken_frequency
-from tokenloom.session import materialise
+from tokenloom.session import materialise, spread
 
 Merges = list[tuple[str, str]]
 
@@ -73,17 +76,23 @@ def merge_word(word: str, ranks: dict[tuple[str, str], tuple[int, ...]]) -> list
         if found is None:
             return parts
         joined: list[str] = []
-        i = 0
-        while i < len(parts):
-            if found in ranks.get(tuple(parts[i : i + 2]), ()):
+        i, end = 0, len(parts) - 1
+        while i < end:
+            if found in ranks.get((parts[i], parts[i + 1]), ()):
                 joined.append(parts[i] + parts[i + 1])
                 i += 2
             else:
                 joined.append(parts[i])
                 i += 1
+        joined += parts[i:]
         parts, last = joined, found
 
 
+def _once(udf):
+    """Keep Spark from repeating the function in the not-empty filter that it puts before an explode."""
+    return udf.asNondeterministic()
+
+
 def encode_pieces(piece: Column, merges: Merges) -> Column:
     """The subword pieces of a pre-token column, as an array of strings."""
     if len(merges) <= FOLD_LIMIT:
@@ -95,27 +104,43 @@ def encode_pieces(piece: Column, merges: Merges) -> Column:
         for batch in batches:
             yield batch.map(lambda word: merge_word(word, ranks))
 
-    return encode(piece)
+    return _once(encode)(piece)
 
 
 def encode_documents(docs: DataFrame, merges: Merges, key: str = "doc_id", pattern: str = tx.KEPT_PATTERN) -> DataFrame:
     """Token ids of each document in reading order: ``(key, tokens ARRAY<INT>)``.
 
-    Runs where the document lies: no shuffle. Each task remembers the encodings of the pre-tokens it met.
+    Runs where the document lies: no shuffle. Each batch is dictionary-encoded, so Python meets a distinct pre-token at
+    most once per batch, and seldom twice per task; ids are then laid out by index arithmetic.
     """
     ids = {piece: i for i, piece in enumerate(vocabulary(merges))}
     ranks = rank_table(merges)
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        @lru_cache(maxsize=200_000)
-        def token_ids(word: str) -> list[int]:
-            return [ids[piece] for piece in merge_word(word, ranks)]
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        @lru_cache(maxsize=500_000)
+        def token_ids(word: str) -> tuple[int, ...]:
+            return tuple(ids[piece] for piece in merge_word(word, ranks))
 
         for batch in batches:
-            yield batch.map(lambda units: [i for unit in units for i in token_ids(unit)])
+            units = batch.flatten().dictionary_encode()
+            encoded = [token_ids(word) for word in units.dictionary.to_pylist()]
+            lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+            pool = np.fromiter((i for e in encoded for i in e), np.int32, lengths.sum())
+            starts = np.cumsum(lengths) - lengths
+
+            which = units.indices.to_numpy(zero_copy_only=False)
+            sizes = lengths[which]
+            ends = np.cumsum(sizes)
+            within = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
+            tokens = pool[np.repeat(starts[which], sizes) + within]
 
-    return docs.select(key, encode(tx.pretokens(F.col("text"), pattern)).alias("tokens"))
+            # Row limits count units; turn them into limits that count tokens.
+            rows = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False))])
+            limits = np.concatenate([[0], ends])[rows]
+            yield pa.ListArray.from_arrays(pa.array(limits, pa.int32()), pa.array(tokens, pa.int32()))
+
+    return docs.select(key, _once(encode)(tx.pretokens(F.col("text"), pattern)).alias("tokens"))
 
 
 def document_pieces(docs: DataFrame, merges: Merges, key: str = "doc_id", pattern: str = tx.KEPT_PATTERN) -> DataFrame:
@@ -180,10 +205,16 @@ def train_merges(docs: DataFrame, n_merges: int, pattern: str = tx.KEPT_PATTERN,
     """
     counted = pretoken_frequency(docs, pattern).filter(F.length("piece") > 1)
     base = materialise(counted.select(marked(F.col("piece")).alias("marks"), "frequency"))
+    if base.rdd.getNumPartitions() < base.sparkSession.sparkContext.defaultParallelism:
+        base = materialise(spread(base, "marks"))
+
+    def current_marks(table: DataFrame, merges: Merges) -> DataFrame:
+        return table.select(apply_merges(F.col("marks"), merges).alias("marks"), "frequency")
+
     merges: Merges = []
     pending: Merges = []
     while len(merges) < n_merges:
-        current = base.select(apply_merges(F.col("marks"), pending).alias("marks"), "frequency")
+        current = current_marks(base, pending)
         # As many candidate pairs as could still be accepted, never the whole pair table.
         limit = n_merges - len(merges) + 1
         ranked = pair_counts(current).orderBy(F.desc("frequency"), "left", "right").limit(limit).collect()
@@ -194,6 +225,6 @@ def train_merges(docs: DataFrame, n_merges: int, pattern: str = tx.KEPT_PATTERN,
         merges += accepted
         pending += accepted
         if len(pending) >= rewrite_every:
-            base = materialise(base.select(apply_merges(F.col("marks"), pending).alias("marks"), "frequency"))
+            base = materialise(current_marks(base, pending))
             pending = []
     return merges

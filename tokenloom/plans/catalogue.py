@@ -12,7 +12,10 @@ from tokenloom.functions import vectors as vec
 from tokenloom.operators import collate, counts, embeddings, ordering, similarity, subwords, windows
 from tokenloom.params import Params
 from tokenloom.plans import chain
+from tokenloom.session import materialise
 from tokenloom.sources import lines, sinks
+from tokenloom.sources.tables import read_documents as _docs
+from tokenloom.sources.tables import read_table as _table
 
 WINDOW = 4
 MIN_COUNT = 50
@@ -38,14 +41,6 @@ def query(f: Query) -> Query:
     return f
 
 
-def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
-
-
-def _docs(spark: SparkSession, sf: str) -> DataFrame:
-    return _table(spark, sf, "documents").select("doc_id", "text")
-
-
 def _joined(tokens: str) -> Column:
     return F.array_join(F.col(tokens).cast("array<string>"), ",")
 
@@ -121,7 +116,7 @@ def subword_merges(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def subword_conservation(spark: SparkSession, sf: str) -> DataFrame:
     """Characters per language, counted from trained pieces: encoding must neither lose nor add any."""
-    docs = _table(spark, sf, "documents").select("lang", "text")
+    docs = _docs(spark, sf, "doc_id", "lang", "text")
     merges = subwords.train_merges(docs, SUBWORD_PARAMS.n_merges)
     units = docs.select("lang", F.explode(tx.pretokens(F.col("text"))).alias("piece"))
     counted = units.groupBy("lang", "piece").agg(F.count("*").alias("frequency"))
@@ -239,7 +234,9 @@ def top_similar_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _cooccurrence(spark: SparkSession, sf: str) -> DataFrame:
-    frequent = counts.word_frequency(_docs(spark, sf)).filter(F.col("frequency") >= MIN_COUNT).select("word")
+    counted = counts.word_frequency(_docs(spark, sf))
+    # Read twice: once to learn whether it is small, once by the join.
+    frequent = materialise(counted.filter(F.col("frequency") >= MIN_COUNT).select("word"))
     return embeddings.cooccurrence_counts(_word_segments(spark, sf), WINDOW, frequent)
 
 

@@ -96,8 +96,9 @@ _WORD_EMBEDDING = (*_WORD_PARTS, _FREQUENCY, _cooccurrence("word", _KEEP_FREQUEN
 _SIM_ID_LISTS = "simlist AS (SELECT id, string_agg(similar_token::varchar, ',' ORDER BY rank) AS similar_tokens FROM sim GROUP BY id)"
 
 _WORD_CHAIN = (
-    *_WORD_PARTS, _FREQUENCY, _VOCAB, _cooccurrence("word", _KEEP_FREQUENT), _SIGNS, _EMBEDDED, _WIDE,
-    "numbered AS (SELECT idx AS token, vector FROM wide JOIN vocab USING (word))",
+    *_WORD_PARTS, _FREQUENCY, _VOCAB,
+    _cooccurrence("idx", f"JOIN vocab USING (word) WHERE frequency >= {MIN_COUNT}"), _SIGNS, _EMBEDDED, _WIDE,
+    "numbered AS (SELECT word AS token, vector FROM wide)",
     _neighbours("numbered", "token", "vector"), _SIM_ID_LISTS,
 )
 _RECORD = """SELECT coalesce(f.word, 'N/A') AS word, coalesce(f.token, s.token) AS "intToken",

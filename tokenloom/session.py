@@ -55,6 +55,15 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash the rows of a scan over all cores when it has fewer partitions than there are cores.
+
+    A single small file would otherwise keep one core busy. A large scan already has more partitions and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows, stopping the count just past the limit."""
     return df.limit(max_rows + 1).count() <= max_rows

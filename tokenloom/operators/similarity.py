@@ -96,8 +96,8 @@ def _nearest_classes(classes: DataFrame, k: int, block_rows: int) -> DataFrame:
     rows = min(block_rows, max(_MIN_BLOCK, math.ceil(n / spark.sparkContext.defaultParallelism)))
 
     pivots = min(_MAX_PIVOTS, math.ceil(n / rows))
-    chosen = classes.orderBy(F.xxhash64("rep"), "rep").select("unit").limit(pivots).collect()
-    centres = np.array([row.unit for row in chosen], dtype=float)
+    sample = classes.orderBy(F.xxhash64("rep"), "rep").select("unit").limit(4 * pivots).collect()
+    centres = _spread_out(np.array([row.unit for row in sample], dtype=float), pivots)
 
     celled = classes.select("rep", "unit", _nearest_pivot(centres)(F.col("unit")).alias("c"))
     celled = celled.select("rep", "unit", F.col("c.cell").alias("cell"), F.col("c.angle").alias("angle"))
@@ -147,6 +147,16 @@ def _candidate_lists(nearest: DataFrame, classes: DataFrame, k: int) -> DataFram
     return classes.select("rep", "v").join(lists, "rep").select("v", short.alias("list"))
 
 
+def _spread_out(units: np.ndarray, n: int) -> np.ndarray:
+    """``n`` of the vectors, each the farthest from those before it, so that every region gets a pivot."""
+    chosen = [0]
+    closest = units @ units[0]
+    while len(chosen) < n:
+        chosen.append(int(closest.argmin()))
+        closest = np.maximum(closest, units @ units[chosen[-1]])
+    return units[chosen]
+
+
 def _nearest_pivot(centres: np.ndarray):
     @F.pandas_udf("cell int, angle double")
     def nearest(units: pd.Series) -> pd.DataFrame:

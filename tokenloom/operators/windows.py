@@ -61,33 +61,48 @@ def context_windows(segments: DataFrame, window_size: int) -> DataFrame:
     )
 
 
-def flattened_windows(windows: DataFrame, window_size: int) -> DataFrame:
-    """Windows of the same size over the concatenated inputs of a sequence's windows: ``(seq, idx, tokens)``.
+def _flattened_places(w: int) -> Column:
+    """The windows over concatenated inputs that start in this window, by place.
 
-    The concatenation of windows i and i+1 reads t_i … t_{i+w-1}, t_{i+1} …, so the window that starts at place p of
-    window i holds t_{i+p} … t_{i+w-1} followed by t_{i+1} … t_{i+p}: all of them in window i itself. Every place but
-    the first needs a following window to exist.
+    The concatenation of windows i and i+1 reads t_i … t_{i+w-1}, t_{i+1} …, so the one that starts at place p of window
+    i holds t_{i+p} … t_{i+w-1} followed by t_{i+1} … t_{i+p}: all of them in window i itself. Every place but the first
+    needs a following window to exist.
     """
-    w = window_size
     variants = [F.concat(F.slice("input", p + 1, w - p), F.slice("input", 2, p)) for p in range(w)]
-    places = F.when(F.col("is_last"), F.array(variants[0])).otherwise(F.array(*variants))
-    return windows.select("seq", "pos", F.posexplode(places).alias("p", "tokens")).select(
+    return F.when(F.col("is_last"), F.array(variants[0])).otherwise(F.array(*variants))
+
+
+def _label_window(w: int) -> Column:
+    """The window over labels that ends at this window's label: its last w - 1 inputs and that label."""
+    return F.concat(F.slice("input", 2, w - 1), F.array("label"))
+
+
+def flattened_windows(windows: DataFrame, window_size: int) -> DataFrame:
+    """Windows of the same size over the concatenated inputs of a sequence's windows: ``(seq, idx, tokens)``."""
+    w = window_size
+    return windows.select("seq", "pos", F.posexplode(_flattened_places(w)).alias("p", "tokens")).select(
         "seq", (F.col("pos") * w + F.col("p")).alias("idx"), "tokens"
     )
 
 
 def label_windows(windows: DataFrame, window_size: int) -> DataFrame:
-    """Windows of the same size over a sequence's labels: ``(seq, idx, tokens)``.
+    """Windows of the same size over a sequence's labels, from its w-th window on: ``(seq, idx, tokens)``."""
+    w = window_size
+    late = windows.filter(F.col("pos") >= w - 1)
+    return late.select("seq", (F.col("pos") - (w - 1)).alias("idx"), _label_window(w).alias("tokens"))
+
 
-    Labels are the tokens from place w on, so the label window ending at a window's label is its last w - 1 inputs and
-    that label, and it exists from the w-th window of the sequence on.
+def training_windows(windows: DataFrame, window_size: int) -> DataFrame:
+    """The distinct flattened and label windows with their number of occurrences: ``(tokens, weight)``.
+
+    Equal windows are counted before they are flattened, so only distinct ones are multiplied.
     """
     w = window_size
-    return windows.filter(F.col("pos") >= w - 1).select(
-        "seq",
-        (F.col("pos") - (w - 1)).alias("idx"),
-        F.concat(F.slice("input", 2, w - 1), F.array("label")).alias("tokens"),
-    )
+    late = (F.col("pos") >= w - 1).alias("late")
+    grams = windows.groupBy("input", "label", "is_last", late).agg(F.count("*").alias("n"))
+    labels = F.when(F.col("late"), F.array(_label_window(w))).otherwise(F.slice(F.array("input"), 1, 0))
+    flat = grams.select("n", F.explode(F.concat(_flattened_places(w), labels)).alias("tokens"))
+    return flat.groupBy("tokens").agg(F.sum("n").alias("weight"))
 
 
 def forward_pairs(segments: DataFrame, distance: int) -> DataFrame:

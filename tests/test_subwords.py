@@ -102,3 +102,10 @@ def test_pretokens_of_whole_text_equal_those_of_words(spark, docs):
     frame = docs("abc-12 34x é5 6", "a\n1")
     whole = frame.select(tx.pretokens(F.col("text")).alias("p")).collect()
     assert [r.p for r in whole] == [["abc", "12", "34", "x", "5", "6"], ["a", "1"]]
+
+
+def test_merge_table_round_trip(spark):
+    table = subwords.merges_frame(spark, FIXED_MERGES).repartition(4)
+    assert subwords.merges_from_frame(table) == FIXED_MERGES
+    with pytest.raises(ValueError, match="more than 3"):
+        subwords.merges_from_frame(table, limit=3)

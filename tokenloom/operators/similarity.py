@@ -25,7 +25,9 @@ from tokenloom.session import materialise
 
 # Scores are ranked by their tenth decimal, so that rounding in the last bit cannot swap neighbours.
 _RANK_DECIMALS = 10
+# Allowances for rounding in scores and in the angles that bound them.
 _SLACK = 1e-9
+_ANGLE_SLACK = 1e-6
 _MAX_PIVOTS = 1024
 _QUERY_ROWS = 512
 _MIN_BLOCK = 512
@@ -38,16 +40,30 @@ def top_similar(vectors: DataFrame, key: str, vector: str, k: int, block_rows: i
     """
     rows = vectors.select(F.col(key).alias("id"), as_doubles(F.col(vector)).alias("v"))
     rows = materialise(rows.select("id", "v", norm(F.col("v")).alias("norm")))
-    stats = rows.agg(F.min(F.size("v")).alias("low"), F.max(F.size("v")).alias("high")).first()
+    stats = rows.agg(
+        F.min(F.size("v")).alias("low"),
+        F.max(F.size("v")).alias("high"),
+        F.count_if(F.col("norm") > 0).alias("nonzero"),
+        F.count_if(F.col("norm") == 0).alias("zero"),
+    ).first()
     if stats.low != stats.high:
         raise ValueError("Vectors must have the same length")
 
     zero = rows.filter(F.col("norm") == 0).select("id")
     nonzero = rows.filter(F.col("norm") > 0)
     classes = materialise(_classes(nonzero, k))
-    nearest = _nearest_classes(classes, k, block_rows)
-    candidates = _candidate_lists(nearest, classes, k)
+    n = classes.count()
+    compared = _compared_classes(classes, n, k, block_rows)
+    order = Window.partitionBy("rep").orderBy(F.desc("score_key"), "other")
+
+    if n == stats.nonzero and not stats.zero:
+        # Every class is one vector, so its best classes are the answer.
+        others = compared.filter(F.col("rep") != F.col("other"))
+        ranked = others.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        return ranked.select(F.col("rep").alias(key), "rank", F.col("other").alias("similar"), "score")
 
+    nearest = compared.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1)
+    candidates = _candidate_lists(nearest, classes, k)
     # Every vector takes its class's list. The few smallest ids fill up behind it with undefined scores.
     listed = nonzero.select("id", "v").join(candidates, "v").select("id", "list")
     fill = _smallest_ids(zero, k + 1)
@@ -86,21 +102,25 @@ def _classes(nonzero: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _nearest_classes(classes: DataFrame, k: int, block_rows: int) -> DataFrame:
-    """The k + 1 best classes of each class, itself included: ``(rep, other, score_key, score)``."""
+def _compared_classes(classes: DataFrame, n: int, k: int, block_rows: int) -> DataFrame:
+    """Rows among which are the k + 1 best classes of each class, itself included: ``(rep, other, score_key, score)``."""
     spark = classes.sparkSession
     id_type = classes.schema["rep"].dataType.simpleString()
-    n = classes.count()
-    if n == 0:
-        return spark.createDataFrame([], f"rep {id_type}, other {id_type}, score_key double, score double")
+    result = f"rep {id_type}, other {id_type}, score_key double, score double"
     rows = min(block_rows, max(_MIN_BLOCK, math.ceil(n / spark.sparkContext.defaultParallelism)))
+    if n <= rows:
+        # One block, which can only visit itself.
+        whole = classes.select(F.lit(0).alias("block"), "rep", "unit", F.lit(-2.0).alias("floor"))
+        held = classes.select(F.lit(0).alias("held"), F.col("rep").alias("member"), F.col("unit").alias("member_unit"))
+        return whole.groupBy("block").cogroup(held.groupBy("held")).applyInPandas(_compare(k + 1), result)
 
     pivots = min(_MAX_PIVOTS, math.ceil(n / rows))
     sample = classes.orderBy(F.xxhash64("rep"), "rep").select("unit").limit(4 * pivots).collect()
     centres = _spread_out(np.array([row.unit for row in sample], dtype=float), pivots)
 
     celled = classes.select("rep", "unit", _nearest_pivot(centres)(F.col("unit")).alias("c"))
-    celled = celled.select("rep", "unit", F.col("c.cell").alias("cell"), F.col("c.angle").alias("angle"))
+    # Written down, so that the sizes and radii below hold for exactly these assignments.
+    celled = materialise(celled.select("rep", "unit", F.col("c.cell").alias("cell"), F.col("c.angle").alias("angle")))
     cells = celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius")).collect()
 
     # Blocks are numbered on the driver from one row per cell; crowded cells own several.
@@ -127,13 +147,11 @@ def _nearest_classes(classes: DataFrame, k: int, block_rows: int) -> DataFrame:
     held = scouted.select(F.col("block").alias("held"), F.col("rep").alias("member"), F.col("unit").alias("member_unit"))
     wanted = visits.select(F.col("block").alias("asking"), F.col("target").alias("held"))
     members = wanted.join(held, "held")
-    compared = (
+    return (
         queries.groupBy("block", "target")
         .cogroup(members.groupBy("asking", "held"))
-        .applyInPandas(_compare(k + 1), f"rep {id_type}, other {id_type}, score_key double, score double")
+        .applyInPandas(_compare(k + 1), result)
     )
-    order = Window.partitionBy("rep").orderBy(F.desc("score_key"), "other")
-    return compared.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1).drop("place")
 
 
 def _candidate_lists(nearest: DataFrame, classes: DataFrame, k: int) -> DataFrame:
@@ -197,7 +215,7 @@ def _own_block_bounds(centres: np.ndarray, radius: np.ndarray, first: np.ndarray
                 scores = part @ units.T
                 floor[start : start + len(part)] = np.partition(scores, len(units) - n, axis=1)[:, len(units) - n]
             away = np.arccos(np.clip(part @ centres.T, -1.0, 1.0)) - radius
-            ceiling = np.cos(np.maximum(away - _SLACK, 0.0))
+            ceiling = np.cos(np.maximum(away - _ANGLE_SLACK, 0.0))
             visit_cells |= (ceiling + _SLACK >= floor[start : start + len(part), None]).any(axis=0)
         visit_cells &= parts > 0
         targets = [int(first[c] + i) for c in np.nonzero(visit_cells)[0] for i in range(parts[c])]

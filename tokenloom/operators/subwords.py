@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import text as tx
 from tokenloom.operators.counts import pretoken_frequency
-from tokenloom.session import materialise, spread
+from tokenloom.session import fits, materialise, spread
 
 Merges = list[tuple[str, str]]
 
@@ -44,20 +44,43 @@ def vocabulary_frame(spark: SparkSession, merges: Merges) -> DataFrame:
     return spark.createDataFrame(list(enumerate(vocabulary(merges))), "token int, word string")
 
 
+def merges_frame(spark: SparkSession, merges: Merges) -> DataFrame:
+    """A merge table as rows ``(rank, left, right)``."""
+    rows = [(rank, left, right) for rank, (left, right) in enumerate(merges)]
+    return spark.createDataFrame(rows, "rank int, left string, right string")
+
+
+def merges_from_frame(table: DataFrame, limit: int = 500_000) -> Merges:
+    """The merge list of rows ``(rank, left, right)``, refused beyond ``limit`` because every task carries it."""
+    if not fits(table, limit):
+        raise ValueError(f"more than {limit} merges")
+    return [(row.left, row.right) for row in table.orderBy("rank").collect()]
+
+
 def marked(piece: Column) -> Column:
     """A pre-token as a string of ``<symbol>`` marks, one per character."""
     return F.regexp_replace(piece, "(.)", "<$1>")
 
 
 def apply_merges(marks: Column, merges: Merges) -> Column:
-    """Replace each adjacent pair by its union, in rank order."""
-    for left, right in merges:
-        marks = F.replace(marks, F.lit(f"<{left}><{right}>"), F.lit(f"<{left}{right}>"))
-    return marks
+    """Replace each adjacent pair by its union, in rank order.
+
+    The merges are one array constant, so plans for different merges share their generated code.
+    """
+    if not merges:
+        return marks
+    steps = F.array(
+        *[
+            F.struct(F.lit(f"<{left}><{right}>").alias("pair"), F.lit(f"<{left}{right}>").alias("union"))
+            for left, right in merges
+        ]
+    )
+    return F.aggregate(steps, marks, lambda text, step: F.replace(text, step["pair"], step["union"]))
 
 
 def symbols(marks: Column) -> Column:
-    return F.regexp_extract_all(marks, F.lit("<([a-z0-9]+)>"), F.lit(1))
+    """The symbols of one marked pre-token."""
+    return F.split(F.btrim(marks, F.lit("<>")), "><")
 
 
 def rank_table(merges: Merges) -> dict[tuple[str, str], tuple[int, ...]]:
@@ -149,7 +172,8 @@ def document_pieces(docs: DataFrame, merges: Merges, key: str = "doc_id", patter
         # Marks of separate pre-tokens are kept apart by the spaces between them, so whole texts fold at once.
         units = F.array_join(tx.pretokens(F.col("text"), pattern), " ")
         marks = F.regexp_replace(units, "([a-z0-9])", "<$1>")
-        return docs.select(key, symbols(apply_merges(marks, merges)).alias("tokens"))
+        pieces = F.regexp_extract_all(apply_merges(marks, merges), F.lit("<([a-z0-9]+)>"), F.lit(1))
+        return docs.select(key, pieces.alias("tokens"))
     pieces = F.array(*[F.lit(p) for p in vocabulary(merges)])
     encoded = encode_documents(docs, merges, key, pattern)
     return encoded.select(key, F.transform("tokens", lambda i: F.get(pieces, i)).alias("tokens"))
@@ -157,10 +181,15 @@ def document_pieces(docs: DataFrame, merges: Merges, key: str = "doc_id", patter
 
 def subword_frequency(docs: DataFrame, merges: Merges, pattern: str = tx.KEPT_PATTERN) -> DataFrame:
     """Occurrences of each subword: ``(word, token, frequency)``, where ``word`` is the decoded piece."""
-    counted = pretoken_frequency(docs, pattern)
+    return frequency_of_pieces(pretoken_frequency(docs, pattern), merges)
+
+
+def frequency_of_pieces(counted: DataFrame, merges: Merges) -> DataFrame:
+    """As :func:`subword_frequency`, from counted pre-tokens ``(piece, frequency)``."""
     pieces = counted.select(F.explode(encode_pieces(F.col("piece"), merges)).alias("word"), "frequency")
     totals = pieces.groupBy("word").agg(F.sum("frequency").alias("frequency"))
-    decode = vocabulary_frame(docs.sparkSession, merges)
+    # As long as the merge table, which is a parameter.
+    decode = vocabulary_frame(counted.sparkSession, merges)
     return totals.join(F.broadcast(decode), "word").select("word", "token", "frequency")
 
 
@@ -198,12 +227,17 @@ def independent_prefix(ranked: list[tuple[str, str, int]], known: set[str], comp
 
 
 def train_merges(docs: DataFrame, n_merges: int, pattern: str = tx.KEPT_PATTERN, rewrite_every: int = 32) -> Merges:
-    """Learn ``n_merges`` merges: each time the most frequent adjacent pair, ties by (left, right).
+    """Learn ``n_merges`` merges: each time the most frequent adjacent pair, ties by (left, right)."""
+    return merges_of_pieces(pretoken_frequency(docs, pattern), n_merges, rewrite_every)
+
+
+def merges_of_pieces(counted: DataFrame, n_merges: int, rewrite_every: int = 32) -> Merges:
+    """As :func:`train_merges`, from counted pre-tokens ``(piece, frequency)``.
 
     The distinct pre-tokens are written once; each pass counts pairs in one aggregation and takes as many merges as are
     certain not to influence one another. The table is rewritten every ``rewrite_every`` merges, so lineage stays short.
     """
-    counted = pretoken_frequency(docs, pattern).filter(F.length("piece") > 1)
+    counted = counted.filter(F.length("piece") > 1)
     base = materialise(counted.select(marked(F.col("piece")).alias("marks"), "frequency"))
     if base.rdd.getNumPartitions() < base.sparkSession.sparkContext.defaultParallelism:
         base = materialise(spread(base, "marks"))

@@ -108,18 +108,17 @@ def subword_occurrence_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def subword_merges(spark: SparkSession, sf: str) -> DataFrame:
-    merges = subwords.train_merges(_docs(spark, sf), SUBWORD_PARAMS.n_merges)
-    rows = [(rank, left, right) for rank, (left, right) in enumerate(merges)]
-    return spark.createDataFrame(rows, "rank int, left string, right string")
+    return subwords.merges_frame(spark, subwords.train_merges(_docs(spark, sf), SUBWORD_PARAMS.n_merges))
 
 
 @query
 def subword_conservation(spark: SparkSession, sf: str) -> DataFrame:
     """Characters per language, counted from trained pieces: encoding must neither lose nor add any."""
     docs = _docs(spark, sf, "doc_id", "lang", "text")
-    merges = subwords.train_merges(docs, SUBWORD_PARAMS.n_merges)
     units = docs.select("lang", F.explode(tx.pretokens(F.col("text"))).alias("piece"))
-    counted = units.groupBy("lang", "piece").agg(F.count("*").alias("frequency"))
+    counted = materialise(units.groupBy("lang", "piece").agg(F.count("*").alias("frequency")))
+    whole = counted.groupBy("piece").agg(F.sum("frequency").alias("frequency"))
+    merges = subwords.merges_of_pieces(whole, SUBWORD_PARAMS.n_merges)
     pieces = counted.select("lang", "frequency", F.explode(subwords.encode_pieces(F.col("piece"), merges)).alias("p"))
     return pieces.groupBy("lang").agg(F.sum(F.col("frequency") * F.length("p")).alias("n_chars"))
 

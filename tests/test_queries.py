@@ -35,7 +35,6 @@ def test_query(spark, duck, name):
 def test_only_training_queries_lack_sql():
     without = set(contract.queries()) - set(ORACLES)
     assert without == {
-        "subword_merges",
         "token_embeddings_autoencoder",
         "token_embeddings_autoencoder_weights",
         "token_embeddings_word2vec",

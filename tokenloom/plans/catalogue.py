@@ -155,6 +155,13 @@ def label_windows(spark: SparkSession, sf: str) -> DataFrame:
     return flat.select(F.col("seq").alias("doc_id"), "idx", _joined("tokens").alias("tokens"))
 
 
+@query
+def training_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct second-level windows, over inputs and over labels, with their number."""
+    found = windows.training_windows(_word_windows(spark, sf), WINDOW)
+    return found.select(_joined("tokens").alias("tokens"), "weight")
+
+
 @query
 def window_positions(spark: SparkSession, sf: str) -> DataFrame:
     return counts.window_positions(_word_windows(spark, sf))

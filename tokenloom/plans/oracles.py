@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tokenloom.plans.catalogue import DIMS, FIXED_MERGES, MIN_COUNT, TOP_K, WINDOW
 from tokenloom.operators.subwords import vocabulary
+from tokenloom.plans.catalogue import DIMS, FIXED_MERGES, MIN_COUNT, SUBWORD_PARAMS, TOP_K, WINDOW
 
 _SPACE = r"\t\n\x0B\f\r "
 _STRIPPED = rf"regexp_replace(lower(text), '[^a-z0-9{_SPACE}]', '', 'g')"
@@ -39,6 +39,22 @@ _LISTING_WORD_WINDOWS = f"""win AS (SELECT * FROM (SELECT idx AS pos, {_leads('w
   WHERE t{WINDOW} IS NOT NULL)"""
 _INPUT = "concat_ws(',', " + ", ".join(f"t{i}" for i in range(WINDOW)) + ")"
 
+_LATER = f"concat_ws(',', {', '.join(f'u{i}' for i in range(WINDOW))}) AS tokens"
+
+
+def _second_level(source: str, token: str, order: str) -> str:
+    ahead = ", ".join(f"lead({token}, {i}) OVER (PARTITION BY doc_id ORDER BY {order}) AS u{i}" for i in range(1, WINDOW))
+    return f"""(SELECT doc_id, idx, {_LATER} FROM (SELECT doc_id, {order} AS idx, {token} AS u0, {ahead} FROM {source})
+  WHERE u{WINDOW - 1} IS NOT NULL)"""
+
+
+_FLATTENED = (
+    f"""flat AS (SELECT doc_id, pos * {WINDOW} + p AS place, CASE p {" ".join(f"WHEN {p} THEN t{p}" for p in range(WINDOW))} END AS t
+  FROM win, (SELECT unnest(range(0, {WINDOW})) AS p))""",
+    f"flattened AS {_second_level('flat', 't', 'place')}",
+)
+_LABELLED = (f"labelled AS {_second_level('win', f't{WINDOW}', 'pos')}",)
+
 # Pre-tokens and fixed-merge subwords.
 _PRETOKENS = rf"""pre AS (
   SELECT doc_id, lang, unnest(regexp_extract_all({_STRIPPED}, '[a-z]+|[0-9]{{1,3}}')) AS piece FROM documents)"""
@@ -136,6 +152,22 @@ ORACLES: dict[str, str] = {
     "subword_occurrence_counts": _with(
         _IDS, _DOC_PIECES, select="SELECT token, count(*)::bigint AS frequency FROM words GROUP BY token"
     ),
+    "subword_merges": _with(
+        _PRETOKENS,
+        _PRE_FREQ,
+        rf"""bpe AS (
+  SELECT 0 AS step, regexp_replace(piece, '(.)', '<\1>', 'g') AS m, frequency, '' AS l, '' AS r
+  FROM prefreq WHERE length(piece) > 1
+  UNION ALL
+  SELECT step + 1, replace(m, '<' || best.l || '><' || best.r || '>', '<' || best.l || best.r || '>'), frequency, best.l, best.r
+  FROM bpe, (SELECT l, r FROM (
+      SELECT s[i] AS l, s[i + 1] AS r, frequency FROM (
+        SELECT s, frequency, unnest(range(1, len(s))) AS i FROM (
+          SELECT regexp_extract_all(m, '<([a-z0-9]+)>', 1) AS s, frequency FROM bpe)))
+    GROUP BY l, r ORDER BY sum(frequency) DESC, l, r LIMIT 1) AS best
+  WHERE step < {SUBWORD_PARAMS.n_merges})""",
+        select="""SELECT DISTINCT (step - 1)::int AS rank, l AS "left", r AS "right" FROM bpe WHERE step > 0""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
     "subword_conservation": """SELECT lang, sum(length(regexp_replace(lower(text), '[^a-z0-9]', '', 'g')))::bigint AS n_chars
       FROM documents GROUP BY lang""",
     "vocab_index": _with(*_VOCAB_PARTS, select="SELECT idx, word FROM vocab"),
@@ -147,23 +179,15 @@ ORACLES: dict[str, str] = {
         _LISTING_WORD_WINDOWS,
         select=f"SELECT pos AS window_id, {_INPUT} AS input, t{WINDOW} AS label FROM win",
     ),
-    "flattened_windows": _with(
-        *_WORD_PARTS,
-        _CORPUS_WINDOWS,
-        f"""flat AS (SELECT doc_id, pos * {WINDOW} + p AS idx, CASE p {" ".join(f"WHEN {p} THEN t{p}" for p in range(WINDOW))} END AS t
-          FROM win, (SELECT unnest(range(0, {WINDOW})) AS p))""",
-        f"""again AS (SELECT doc_id, idx, t AS u0, {", ".join(
-            f"lead(t, {i}) OVER (PARTITION BY doc_id ORDER BY idx) AS u{i}" for i in range(1, WINDOW))} FROM flat)""",
-        select=f"""SELECT doc_id, idx, concat_ws(',', {", ".join(f"u{i}" for i in range(WINDOW))}) AS tokens
-          FROM again WHERE u{WINDOW - 1} IS NOT NULL""",
-    ),
-    "label_windows": _with(
+    "flattened_windows": _with(*_WORD_PARTS, _CORPUS_WINDOWS, *_FLATTENED, select="SELECT * FROM flattened"),
+    "label_windows": _with(*_WORD_PARTS, _CORPUS_WINDOWS, *_LABELLED, select="SELECT * FROM labelled"),
+    "training_windows": _with(
         *_WORD_PARTS,
         _CORPUS_WINDOWS,
-        f"""again AS (SELECT doc_id, pos AS idx, t{WINDOW} AS u0, {", ".join(
-            f"lead(t{WINDOW}, {i}) OVER (PARTITION BY doc_id ORDER BY pos) AS u{i}" for i in range(1, WINDOW))} FROM win)""",
-        select=f"""SELECT doc_id, idx, concat_ws(',', {", ".join(f"u{i}" for i in range(WINDOW))}) AS tokens
-          FROM again WHERE u{WINDOW - 1} IS NOT NULL""",
+        *_FLATTENED,
+        *_LABELLED,
+        select="""SELECT tokens, count(*)::bigint AS weight FROM (SELECT tokens FROM flattened UNION ALL SELECT tokens FROM labelled)
+          GROUP BY tokens""",
     ),
     "window_positions": _with(
         *_WORD_PARTS,

@@ -147,3 +147,21 @@ def test_random_index_is_linear_and_wide(spark):
     assert set(got["u"]) == {-1, 1} and len(got["u"]) == 120
     assert set(np.unique(got["w"] - 2 * got["u"])) <= {-3, 3}
     assert abs(int(got["u"].sum())) < 60
+
+
+def test_context_vectors_equal_those_of_pair_counts(spark, docs, monkeypatch):
+    texts = ["a b a c d e a a", "b a", "f", "c c c c c c c", "d c b a"]
+    segments = windows.corpus_segments(docs(*texts), tx.words(F.col("text")))
+    known = spark.createDataFrame([("a", 10), ("c", 11), ("e", 12), ("b", 13)], "word string, token long")
+    few = embeddings.context_vectors(segments, 4, 60, known)
+    large = embeddings.context_vectors(segments, 4, 60, known, broadcast_rows=0)
+    monkeypatch.setattr(embeddings, "_FEW_TOKENS", 0)
+    middle = embeddings.context_vectors(segments, 4, 60, known)
+    got = {r.token: r.vector for r in few.collect()}
+    assert got == {r.token: r.vector for r in middle.collect()} == {r.token: r.vector for r in large.collect()}
+    assert set(got) == {10, 11, 12, 13} and all(len(v) == 60 for v in got.values())
+    same = spark.createDataFrame([(w, w) for w in "abcdef"], "word string, token string")
+    monkeypatch.setattr(embeddings, "_FEW_TOKENS", 1000)
+    whole = embeddings.context_vectors(segments, 4, 8, same, complete=True).collect()
+    part = embeddings.context_vectors(segments, 4, 8, same).collect()
+    assert sorted(map(tuple, map(str, whole))) == sorted(map(tuple, map(str, part)))

@@ -10,6 +10,8 @@ from tokenloom.session import fits
 
 # One md5 digest block gives 13 hex digits = 52 sign bits that fit a BIGINT.
 _BITS = 52
+# Up to this many tokens, the pair counts of a task stay below half a million rows.
+_FEW_TOKENS = 1000
 
 
 def cooccurrence_counts(
@@ -50,27 +52,69 @@ def _restrict(pairs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return pairs
 
 
+def _signs(token: Column, size: int) -> list[Column]:
+    """A token's random signs: as many bits of its md5 as there are dimensions, 52 to a column."""
+    blocks = range((size + _BITS - 1) // _BITS)
+    digest = [F.md5(F.concat_ws(":", token.cast("string"), F.lit(b))) for b in blocks]
+    return [F.conv(F.substring(d, 1, 13), 16, 10).cast("long").alias(f"s{b}") for b, d in enumerate(digest)]
+
+
+def _signed_sums(signed: DataFrame, key: str, n: Column, size: int) -> DataFrame:
+    """Per key, the sum of ``n`` times each sign, all dimensions side by side in one aggregate."""
+
+    def positive(d: int) -> Column:
+        bit = F.shiftright(F.col(f"s{d // _BITS}"), d % _BITS).bitwiseAND(F.lit(1))
+        return F.sum(n * bit).alias(f"p{d}")
+
+    sums = signed.groupBy(key).agg(F.sum(n).alias("total"), *[positive(d) for d in range(size)])
+    return sums.select(key, F.array(*[F.col(f"p{d}") * 2 - F.col("total") for d in range(size)]).alias("vector"))
+
+
 def random_index(cooccurrence: DataFrame, size: int, key: str = "word") -> DataFrame:
     """Sum of the contexts' random ±1 vectors, weighted by count (random indexing): ``(key, vector ARRAY<BIGINT>)``.
 
     The signs of a context are bits of its md5, so vectors are integers that depend neither on order nor on a seed.
-    All dimensions are summed side by side in one aggregate; no pair is ever expanded by dimension.
     """
-    blocks = range((size + _BITS - 1) // _BITS)
-    digests = [
-        F.conv(F.substring(F.md5(F.concat_ws(":", F.col("context").cast("string"), F.lit(b))), 1, 13), 16, 10)
-        .cast("long")
-        .alias(f"s{b}")
-        for b in blocks
-    ]
-    signed = cooccurrence.select(key, "n", *digests)
+    signed = cooccurrence.select(key, "n", *_signs(F.col("context"), size))
+    return _signed_sums(signed, key, F.col("n"), size)
 
-    def positive(d: int) -> Column:
-        bit = F.shiftright(F.col(f"s{d // _BITS}"), d % _BITS).bitwiseAND(F.lit(1))
-        return F.sum(F.col("n") * bit).alias(f"p{d}")
 
-    sums = signed.groupBy(key).agg(F.sum("n").alias("total"), *[positive(d) for d in range(size)])
-    return sums.select(key, F.array(*[F.col(f"p{d}") * 2 - F.col("total") for d in range(size)]).alias("vector"))
+def context_vectors(
+    segments: DataFrame,
+    distance: int,
+    size: int,
+    vocabulary: DataFrame,
+    broadcast_rows: int = 1_000_000,
+    complete: bool = False,
+) -> DataFrame:
+    """The vectors of :func:`random_index` straight from the text: ``(token, vector ARRAY<BIGINT>)``.
+
+    ``vocabulary`` is ``(word, token)``: the tokens as they stand in the segments, and the ids to give them;
+    ``complete`` tells that the segments hold nothing else, under these same ids.
+
+    A task's pair counts are few for a small vocabulary, but would outgrow the text for a large one. Vectors are sums
+    over occurrences, so there the counts are left out: with the vocabulary's signs at hand in every task, the only
+    shuffle carries one row of sums per token and task. A vocabulary too large to broadcast has to take the way over
+    pair counts.
+    """
+    vocabulary = vocabulary.select("word", "token")
+    if fits(vocabulary, _FEW_TOKENS) or not fits(vocabulary, broadcast_rows):
+        counts = cooccurrence_counts(segments, distance, None if complete else vocabulary, broadcast_rows)
+        return random_index(counts, size).withColumnRenamed("word", "token")
+    signs = _signs(F.col("token"), size)
+    names = [f"s{b}" for b in range(len(signs))]
+    known = F.broadcast(vocabulary.select("word", F.struct("token", *signs).alias("entry")))
+    pairs = forward_pairs(segments, distance)
+    for side in ("a", "b"):
+        entry = known.select(F.col("word").alias(side), F.col("entry").alias(f"{side}_entry"))
+        pairs = pairs.join(entry, side).drop(side)
+
+    def directed(word: str, context: str) -> Column:
+        masks = [F.col(f"{context}_entry.{name}").alias(name) for name in names]
+        return F.struct(F.col(f"{word}_entry.token").alias("token"), *masks)
+
+    both = pairs.select(F.inline(F.array(directed("a", "b"), directed("b", "a"))))
+    return _signed_sums(both, "token", F.lit(1).cast("long"), size)
 
 
 def dedup_vectors(tagged: DataFrame, token: str = "token", role: str = "role", vector: str = "vector") -> DataFrame:

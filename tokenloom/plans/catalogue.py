@@ -239,28 +239,38 @@ def top_similar_vectors(spark: SparkSession, sf: str) -> DataFrame:
 # Embeddings
 
 
-def _cooccurrence(spark: SparkSession, sf: str) -> DataFrame:
+def _frequent_words(spark: SparkSession, sf: str) -> DataFrame:
     counted = counts.word_frequency(_docs(spark, sf))
     # Read twice: once to learn whether it is small, once by the join.
-    frequent = materialise(counted.filter(F.col("frequency") >= MIN_COUNT).select("word"))
-    return embeddings.cooccurrence_counts(_word_segments(spark, sf), WINDOW, frequent)
+    return materialise(counted.filter(F.col("frequency") >= MIN_COUNT).select("word"))
 
 
 @query
 def cooccurrence_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return _cooccurrence(spark, sf)
+    return embeddings.cooccurrence_counts(_word_segments(spark, sf), WINDOW, _frequent_words(spark, sf))
+
+
+def _word_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    known = _frequent_words(spark, sf).select("word", F.col("word").alias("token"))
+    vectors = embeddings.context_vectors(_word_segments(spark, sf), WINDOW, DIMS, known)
+    return vectors.withColumnRenamed("token", "word")
 
 
 @query
 def token_embeddings(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = embeddings.random_index(_cooccurrence(spark, sf), DIMS)
+    return _word_vectors(spark, sf).select("word", F.posexplode("vector").alias("dim", "value"))
+
+
+@query
+def token_embeddings_from_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The same vectors by way of pair counts, as for a vocabulary that is too large to broadcast."""
+    vectors = embeddings.random_index(cooccurrence_counts(spark, sf), DIMS)
     return vectors.select("word", F.posexplode("vector").alias("dim", "value"))
 
 
 @query
 def top_similar_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = embeddings.random_index(_cooccurrence(spark, sf), DIMS)
-    return _ranked(similarity.top_similar(vectors, "word", "vector", TOP_K), "word")
+    return _ranked(similarity.top_similar(_word_vectors(spark, sf), "word", "vector", TOP_K), "word")
 
 
 def _long_vectors(vectors: DataFrame) -> DataFrame:

@@ -238,6 +238,7 @@ ORACLES: dict[str, str] = {
         *_WORD_PARTS, _FREQUENCY, _cooccurrence("word", _KEEP_FREQUENT), select="SELECT word, context, n FROM cooc"
     ),
     "token_embeddings": _with(*_WORD_EMBEDDING, select="SELECT word, dim, value FROM emb"),
+    "token_embeddings_from_counts": _with(*_WORD_EMBEDDING, select="SELECT word, dim, value FROM emb"),
     "top_similar_tokens": _with(
         *_WORD_EMBEDDING,
         _WIDE,

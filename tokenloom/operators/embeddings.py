@@ -10,8 +10,8 @@ from tokenloom.session import fits
 
 # One md5 digest block gives 13 hex digits = 52 sign bits that fit a BIGINT.
 _BITS = 52
-# Up to this many tokens, the pair counts of a task stay below half a million rows.
-_FEW_TOKENS = 1000
+# Up to this many tokens, the pair counts of a task are a small table whatever the text.
+_FEW_TOKENS = 500
 
 
 def cooccurrence_counts(
@@ -129,11 +129,13 @@ def dedup_vectors(tagged: DataFrame, token: str = "token", role: str = "role", v
 
 
 def word2vec(
-    sentences: DataFrame, size: int, window: int, min_count: int, seed: int, partitions: int = 1, max_words: int = 1_000_000
+    sentences: DataFrame, size: int, window: int, min_count: int, seed: int, max_words: int = 1_000_000,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Skip-gram vectors by MLlib over ``(tokens ARRAY<STRING>)``: ``(word, vector ARRAY<DOUBLE>)``.
 
-    MLlib keeps the whole vocabulary on the driver, so it is counted first and refused above ``max_words``.
+    MLlib keeps the whole vocabulary on the driver, so it is counted first and refused above ``max_words``. It trains one
+    model per partition, one partition per core by default, and averages them; a fixed count repeats best.
     """
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
@@ -143,6 +145,6 @@ def word2vec(
         raise ValueError(f"more than {max_words} words: raise min_count or use another embedding")
     model = Word2Vec(
         vectorSize=size, windowSize=window, minCount=min_count, seed=seed, maxIter=1,
-        numPartitions=partitions, inputCol="tokens", outputCol="out",
+        numPartitions=partitions or sentences.sparkSession.sparkContext.defaultParallelism, inputCol="tokens", outputCol="out",
     ).fit(sentences)
     return model.getVectors().select("word", vector_to_array("vector").alias("vector"))

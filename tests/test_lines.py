@@ -99,3 +99,10 @@ def test_read_lines_skips_hidden_files_and_sets_split(spark, tmp_path):
     assert sorted(r.value for r in got.collect()) == ["one", "two"]
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(10 * 1024 * 1024)
     spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("delimiter", ["\t", "|", "::", "."])
+def test_any_literal_delimiter(raw, delimiter):
+    line = delimiter.join(["a", "", "b", "", ""])
+    got = raw(line, delimiter * 3, "").select(lines.fields(F.col("value"), delimiter).alias("f")).collect()
+    assert [r.f for r in got] == [["a", "", "b"], [], []]

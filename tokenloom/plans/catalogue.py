@@ -335,6 +335,15 @@ def collated_outer(spark: SparkSession, sf: str) -> DataFrame:
     return _flat_record(collate.collate(*_outer_sides(spark, sf)))
 
 
+@query
+def collated_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """Collation where two words and two neighbour lists share a token."""
+    half = F.floor(F.col("token") / 2).cast("long").alias("token")
+    frequencies = _vocabulary(spark, sf).withColumnRenamed("idx", "token").select("word", half, "frequency")
+    lists = collate.neighbour_lists(_similar_vectors(spark, sf).withColumnRenamed("vec_id", "token"))
+    return _flat_record(collate.collate(frequencies, lists.select(half, "similar")))
+
+
 @query
 def tagged_union(spark: SparkSession, sf: str) -> DataFrame:
     return collate.tagged_union(*_outer_sides(spark, sf))

@@ -265,6 +265,16 @@ ORACLES: dict[str, str] = {
         select=_RECORD,
     ),
     "collated_outer": _with(*_OUTER_SIDES, select=_RECORD),
+    "collated_repeats": _with(
+        *_VOCAB_PARTS,
+        _SIM_VECTORS,
+        """f AS (SELECT best.word AS word, token, best.frequency AS frequency FROM (
+          SELECT (idx // 2)::varchar AS token, max({'frequency': frequency, 'word': word}) AS best FROM vocab GROUP BY 1))""",
+        "single AS (SELECT id, list(similar_token::varchar ORDER BY rank) AS l FROM sim GROUP BY id)",
+        """s AS (SELECT (id // 2)::varchar AS token, array_to_string(flatten(list_sort(list(l))), ',') AS similar_tokens
+          FROM single GROUP BY 1)""",
+        select=_RECORD,
+    ),
     "tagged_union": _with(
         *_OUTER_SIDES,
         select=r"""SELECT 'tokenization' AS source, token, word || chr(9) || frequency::varchar AS payload FROM f

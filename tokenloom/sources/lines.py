@@ -26,7 +26,10 @@ def read_lines(spark: SparkSession, path: str, params: Params = Params()) -> Dat
 
 def fields(line: Column, delimiter: str = "\t") -> Column:
     """Split on a literal delimiter. Trailing empty fields are dropped, so a line of delimiters only has none."""
-    trimmed = F.rtrim(line, F.lit(delimiter))
+    if len(delimiter) == 1:
+        trimmed = F.rtrim(line, F.lit(delimiter))
+    else:
+        trimmed = F.regexp_replace(line, f"(?:{_literal(delimiter)})+$", "")
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _literal(delimiter)))
 
 

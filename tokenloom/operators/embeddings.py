@@ -98,7 +98,8 @@ def context_vectors(
     pair counts.
     """
     vocabulary = vocabulary.select("word", "token")
-    if fits(vocabulary, _FEW_TOKENS) or not fits(vocabulary, broadcast_rows):
+    n = vocabulary.count()
+    if n <= _FEW_TOKENS or n > broadcast_rows:
         counts = cooccurrence_counts(segments, distance, None if complete else vocabulary, broadcast_rows)
         return random_index(counts, size).withColumnRenamed("word", "token")
     signs = _signs(F.col("token"), size)

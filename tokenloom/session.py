@@ -1,4 +1,4 @@
-"""Session set-up for local use, lineage cutting and checked broadcasts."""
+"""Session set-up for local use, lineage cutting and size checks."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _local_scratch: dict[str, str] = {}
 
@@ -65,10 +64,5 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows, stopping the count just past the limit."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast when ``df`` was counted to be small, else leave the join strategy to Spark."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+    """Whether ``df`` has at most ``max_rows`` rows. Every task counts its own; nothing is gathered."""
+    return df.count() <= max_rows

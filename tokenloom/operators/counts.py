@@ -28,12 +28,11 @@ def pretoken_frequency(docs: DataFrame, pattern: str = tx.KEPT_PATTERN) -> DataF
 
 def role_token_counts(windows: DataFrame) -> DataFrame:
     """How often each token occurs as window input and as label: ``(role, token, n)``."""
-    # The two roles of a window leave in one pass, so the windows are computed only once.
-    tagged = F.concat(
-        F.transform("input", lambda t: F.struct(F.lit("input").alias("role"), t.alias("token"))),
-        F.array(F.struct(F.lit("label").alias("role"), F.col("label").alias("token"))),
-    )
-    return windows.select(F.inline(tagged)).groupBy("role", "token").agg(F.count("*").alias("n"))
+    # Both roles leave in one pass, so the windows are computed only once; the label stands after the inputs.
+    whole = F.concat("input", F.array("label"))
+    placed = windows.select(F.size("input").alias("w"), F.posexplode(whole).alias("place", "token"))
+    counted = placed.groupBy((F.col("place") < F.col("w")).alias("is_input"), "token").agg(F.count("*").alias("n"))
+    return counted.select(F.when(F.col("is_input"), "input").otherwise("label").alias("role"), "token", "n")
 
 
 def window_positions(windows: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import decontam, mixing, sharding, simhash, toxicity
+from tokenloom.llm import decontam, licenses, mixing, secrets, sharding, simhash, topk, toxicity
 from tokenloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,24 @@ def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity_report(_texts(spark, sf), table(spark, sf, "labels", "doc_id", "toxic"))
 
 
+@query
+def op4_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.report(_texts(spark, sf))
+
+
+@query
+def op6_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(_texts(spark, sf))
+
+
+ORACLES["op6_licenses"] = licenses.sql()
+
+
+@query
+def op7_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.top_products(table(spark, sf, "embeddings", "vec_id", "embedding"))
+
+
 @query
 def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """Every use of a document in a mixture as large as the corpus, no source more than four times."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import decontam, licenses, mixing, secrets, sharding, simhash, topk, toxicity
+from tokenloom.llm import decontam, licenses, mixing, secrets, sharding, simhash, substring, topk, toxicity
 from tokenloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,11 @@ def _texts(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents", "doc_id", "text")
 
 
+@query
+def op1_passages(spark: SparkSession, sf: str) -> DataFrame:
+    return substring.repeated_passages(_texts(spark, sf))
+
+
 @query
 def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.simhash_groups(_texts(spark, sf))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import decontam, licenses, mixing, secrets, sharding, simhash, substring, topk, toxicity
+from tokenloom.llm import decontam, licenses, lm, mixing, secrets, sharding, simhash, substring, topk, toxicity
 from tokenloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,11 @@ def op7_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_products(table(spark, sf, "embeddings", "vec_id", "embedding"))
 
 
+@query
+def op8_lm(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.scores(_texts(spark, sf))
+
+
 @query
 def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """Every use of a document in a mixture as large as the corpus, no source more than four times."""

@@ -62,8 +62,13 @@ def test_strict_raises(raw):
 
 
 def test_malformed_counts(raw):
-    row = lines.count_malformed(raw("a\t1\t2", "b", "c\t1\t2\t3"), "frequencies").first()
-    assert tuple(row) == ("frequencies", 1, 2)
+    row = lines.count_malformed(raw("a\t1\t2", "b", "c\t1\t2\t3", "d\t4\tmany"), "frequencies").first()
+    assert tuple(row) == ("frequencies", 1, 3)
+
+
+def test_trailing_commas_are_dropped(raw):
+    assert lines.parse_windows(raw("input_0\t5,6,")).first().tokens == [5, 6]
+    assert lines.parse_vectors(raw("t\t[1.5, 2,]")).first().vector == [1.5, 2.0]
 
 
 def test_round_trips(spark):
@@ -97,8 +102,8 @@ def test_read_lines_skips_hidden_files_and_sets_split(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     got = lines.read_lines(spark, str(tmp_path), Params(split_mb=10))
     assert sorted(r.value for r in got.collect()) == ["one", "two"]
-    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(10 * 1024 * 1024)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert got.sparkSession.conf.get("spark.sql.files.maxPartitionBytes") == str(10 * 1024 * 1024)
 
 
 @pytest.mark.parametrize("delimiter", ["\t", "|", "::", "."])

@@ -9,6 +9,7 @@ from conftest import SMALL
 
 import __spark_entry__ as contract
 from check import _rows
+from tokenloom.plans import catalogue
 
 ORACLES = contract.oracle_sql()
 
@@ -21,7 +22,7 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query(spark, duck, name):
     frame = contract.queries()[name](spark, SMALL)
     rows = frame.collect()
@@ -33,7 +34,7 @@ def test_query(spark, duck, name):
 
 
 def test_only_training_queries_lack_sql():
-    without = set(contract.queries()) - set(ORACLES)
+    without = set(catalogue.QUERIES) - set(ORACLES)
     assert without == {
         "token_embeddings_autoencoder",
         "token_embeddings_autoencoder_weights",

@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -109,3 +110,13 @@ def test_merge_table_round_trip(spark):
     assert subwords.merges_from_frame(table) == FIXED_MERGES
     with pytest.raises(ValueError, match="more than 3"):
         subwords.merges_from_frame(table, limit=3)
+
+
+def test_pairs_of_a_symbol_with_itself_are_trained_one_at_a_time(spark):
+    cases = [{"000": 1000, "12": 500, "xy": 300}]
+    draw = random.Random(11)
+    for _ in range(3):
+        cases.append({"".join(draw.choices("ab0", k=draw.randint(2, 6))): draw.randint(1, 40) for _ in range(12)})
+    for words in cases:
+        frame = spark.createDataFrame(list(words.items()), "piece string, frequency long")
+        assert subwords.merges_of_pieces(frame, 6) == plain_training(words, 6)[0]

@@ -29,7 +29,7 @@ def test_features(spark):
 
 def test_mean_vectors(spark):
     rows = spark.createDataFrame([(1, [1.0, 2.0]), (1, [3.0, 4.0]), (2, [0.0, 1.0])], "k int, v array<double>")
-    got = {r.k: r.vector for r in vec.mean_vectors(rows, "k", "v", 2).collect()}
+    got = {r.k: r.vector for r in vec.mean_vectors(rows, "k", "v").collect()}
     assert got == {1: [2.0, 3.0], 2: [0.0, 1.0]}
 
 
@@ -165,3 +165,18 @@ def test_context_vectors_equal_those_of_pair_counts(spark, docs, monkeypatch):
     whole = embeddings.context_vectors(segments, 4, 8, same, complete=True).collect()
     part = embeddings.context_vectors(segments, 4, 8, same).collect()
     assert sorted(map(tuple, map(str, whole))) == sorted(map(tuple, map(str, part)))
+
+
+def test_vectors_that_cannot_be_compared(spark):
+    odd = [(1, [1.0, 0.0]), (2, [2.0, 0.1]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [0.0, 0.0])]
+    frame = spark.createDataFrame(odd, "id long, v array<double>")
+    got = {(r.id, r["rank"]): (r.similar, r.score) for r in similarity.top_similar(frame, "id", "v", 4).collect()}
+    assert len(got) == 20 and got[1, 1][0] == 2 and got[2, 1][0] == 1
+    assert [got[3, i][0] for i in range(1, 5)] == [1, 2, 4, 5] and got[1, 2][0] == 3
+    assert all(math.isnan(score) for (i, rank), (_, score) in got.items() if i > 2 or rank > 1)
+    for bad in ([1.0, None], None, [1.0]):
+        broken = spark.createDataFrame([(1, [1.0, 0.0]), (2, bad)], "id long, v array<double>")
+        with pytest.raises(ValueError):
+            similarity.top_similar(broken, "id", "v", 1)
+        with pytest.raises(ValueError):
+            vec.mean_vectors(broken, "id", "v")

@@ -40,11 +40,24 @@ def scaled_features(window: Column, max_id: Column | int | None = None) -> Colum
     return F.transform(window, lambda x: x.cast("double") / largest)
 
 
-def mean_vectors(df: DataFrame, key: str, vector: str, size: int, out: str = "vector") -> DataFrame:
+def common_size(df: DataFrame, vector: str) -> int:
+    """The length that all vectors share, 0 for none; null vectors, null components and unequal lengths raise."""
+    v = F.col(vector)
+    bad = v.isNull() | F.exists(v, lambda x: x.isNull())
+    low, high, nulls = df.agg(F.min(F.size(v)), F.max(F.size(v)), F.count_if(bad)).first()
+    if nulls:
+        raise ValueError(f"{nulls} vectors are null or hold a null")
+    if low != high:
+        raise ValueError("Vectors must have the same length")
+    return low or 0
+
+
+def mean_vectors(df: DataFrame, key: str, vector: str, out: str = "vector") -> DataFrame:
     """Element-wise mean of the vectors of each key.
 
-    ``size`` averages are computed side by side, so rows are reduced map-side and never exploded.
+    The averages of all dimensions are computed side by side, so rows are reduced map-side and never exploded.
     """
+    size = common_size(df, vector)
     v = as_doubles(F.col(vector))
     sums = df.groupBy(key).agg(*[F.avg(F.get(v, F.lit(i))).alias(f"m{i}") for i in range(size)])
     return sums.select(key, F.array(*[F.col(f"m{i}") for i in range(size)]).alias(out))

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.functions.vectors import as_doubles, norm
+from tokenloom.functions.vectors import as_doubles, common_size, norm
 from tokenloom.session import materialise
 
 # Scores are ranked by their tenth decimal, so that rounding in the last bit cannot swap neighbours.
@@ -36,21 +36,17 @@ _MIN_BLOCK = 512
 def top_similar(vectors: DataFrame, key: str, vector: str, k: int, block_rows: int = 4096) -> DataFrame:
     """The ``k`` nearest other tokens of each: ``(key, rank, similar, score)``, ranks from 1.
 
-    Ties go to the smaller id. Against a zero vector the score is NaN and ranks last.
+    Ties go to the smaller id. A zero vector, and one with a component that is no finite number, has the score NaN with
+    every other, which ranks last. Null vectors, null components and unequal lengths raise.
     """
+    common_size(vectors, vector)
     rows = vectors.select(F.col(key).alias("id"), as_doubles(F.col(vector)).alias("v"))
     rows = materialise(rows.select("id", "v", norm(F.col("v")).alias("norm")))
-    stats = rows.agg(
-        F.min(F.size("v")).alias("low"),
-        F.max(F.size("v")).alias("high"),
-        F.count_if(F.col("norm") > 0).alias("nonzero"),
-        F.count_if(F.col("norm") == 0).alias("zero"),
-    ).first()
-    if stats.low != stats.high:
-        raise ValueError("Vectors must have the same length")
-
-    zero = rows.filter(F.col("norm") == 0).select("id")
-    nonzero = rows.filter(F.col("norm") > 0)
+    # NaN counts as greater than every number.
+    defined = (F.col("norm") > 0) & (F.col("norm") < float("inf"))
+    stats = rows.agg(F.count_if(defined).alias("nonzero"), F.count_if(~defined).alias("zero")).first()
+    zero = rows.filter(~defined).select("id")
+    nonzero = rows.filter(defined)
     classes = materialise(_classes(nonzero, k))
     n = classes.count()
     compared = _compared_classes(classes, n, k, block_rows)

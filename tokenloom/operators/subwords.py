@@ -210,17 +210,18 @@ def independent_prefix(ranked: list[tuple[str, str, int]], known: set[str], comp
 
     A merge (a, b) changes the counts only of pairs ending in a or starting with b, and the pairs it creates are no more
     frequent than those, unless the piece ab is ``known`` already. So every pair ranked before the first one touched by
-    an earlier merge, and strictly more frequent than it, keeps both its count and its place. ``complete`` tells that
-    ``ranked`` lists all pairs.
+    an earlier merge, and strictly more frequent than it, keeps both its count and its place. A pair of a symbol with
+    itself touches itself: the pairs it creates are bounded by its own count alone, so nothing is accepted after it.
+    ``complete`` tells that ``ranked`` lists all pairs.
     """
     chosen: list[tuple[str, str, int]] = []
     bound = 0 if complete else ranked[-1][2]
-    recreated = False
+    closed = False
     for left, right, frequency in ranked:
-        if recreated or any(left == r or right == l for l, r, _ in chosen):
+        if closed or any(left == r or right == l for l, r, _ in chosen):
             bound = frequency
             break
-        recreated = left + right in known or any(left + right == l + r for l, r, _ in chosen)
+        closed = left == right or left + right in known or any(left + right == l + r for l, r, _ in chosen)
         chosen.append((left, right, frequency))
     kept = [pair for pair in chosen if pair[2] > bound]
     return [(left, right) for left, right, _ in kept or chosen[:1]]

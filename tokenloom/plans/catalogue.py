@@ -195,7 +195,7 @@ def vector_norms(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def mean_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    means = vec.mean_vectors(_table(spark, sf, "embeddings"), "label", "embedding", 64)
+    means = vec.mean_vectors(_table(spark, sf, "embeddings"), "label", "embedding")
     return means.select("label", F.posexplode("vector").alias("dim", "m")).select(
         "label", "dim", F.round("m", 6).alias("mean")
     )
@@ -205,7 +205,7 @@ def mean_vectors(spark: SparkSession, sf: str) -> DataFrame:
 def vector_cosine(spark: SparkSession, sf: str) -> DataFrame:
     """Cosine of every vector with the mean vector of its label."""
     table = _table(spark, sf, "embeddings")
-    means = vec.mean_vectors(table, "label", "embedding", 64)
+    means = vec.mean_vectors(table, "label", "embedding")
     score = vec.cosine(F.col("embedding"), F.col("vector"))
     return table.join(means, "label").select("vec_id", "label", F.round(score, 4).alias("score"))
 

@@ -349,7 +349,8 @@ ORACLES: dict[str, str] = {
         _LINE_KINDS,
         select=f"""SELECT 'tokens' AS format, count(*) FILTER (shape <> 3)::bigint AS n_ok, count(*) FILTER (shape = 3)::bigint AS n_bad
           FROM shaped
-          UNION ALL SELECT 'frequencies', count(*) FILTER (shape IN (0, 4)), count(*) FILTER (shape NOT IN (0, 4)) FROM shaped
+          UNION ALL SELECT 'frequencies', count(*) FILTER (shape IN (0, 4) AND NOT bad),
+            count(*) FILTER (shape NOT IN (0, 4) OR bad) FROM shaped
           UNION ALL SELECT 'windows', 2 * greatest(0, count(*) - {WINDOW}), greatest(0, count(*) - {WINDOW}) FROM vocab
           UNION ALL SELECT 'vectors', count(*) FILTER (vec_id % 3 <> 0), count(*) FILTER (vec_id % 3 = 0) FROM embeddings""",
     ),

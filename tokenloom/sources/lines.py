@@ -18,10 +18,15 @@ from tokenloom.params import Params
 def read_lines(spark: SparkSession, path: str, params: Params = Params()) -> DataFrame:
     """One row per line of a file or directory; names starting with ``_`` or ``.`` are skipped by Spark.
 
-    ``split_mb`` caps the bytes one task reads.
+    ``split_mb`` caps the bytes one task reads. It is set in a child session with the caller's other settings, so the
+    caller's own scans keep theirs.
     """
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(params.split_mb * 1024 * 1024))
-    return spark.read.text(path)
+    child = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if child.conf.isModifiable(name):
+            child.conf.set(name, value)
+    child.conf.set("spark.sql.files.maxPartitionBytes", str(params.split_mb * 1024 * 1024))
+    return child.read.text(path)
 
 
 def fields(line: Column, delimiter: str = "\t") -> Column:
@@ -39,10 +44,11 @@ def _literal(delimiter: str) -> str:
 
 def well_formed(line: Column, kind: str, params: Params = Params()) -> Column:
     """Whether a line has the shape its format demands."""
-    size = F.size(fields(line, params.field_delimiter))
+    split = fields(line, params.field_delimiter)
+    size = F.size(split)
     rules: dict[str, Callable[[], Column]] = {
         "tokens": lambda: size > params.token_index,
-        "frequencies": lambda: size == 3,
+        "frequencies": lambda: (size == 3) & F.get(split, F.lit(2)).try_cast("long").isNotNull(),
         "windows": lambda: size == 2,
         "vectors": lambda: size == 2,
         "similar": lambda: size == 2,
@@ -79,12 +85,11 @@ def parse_tokens(lines: DataFrame, params: Params = Params(), strict: bool = Fal
 def parse_frequencies(lines: DataFrame, params: Params = Params(), strict: bool = False) -> DataFrame:
     """Token-frequency lines of exactly three fields: ``(word, token STRING, frequency BIGINT)``.
 
-    A frequency that is no number drops the token, as a failing key does, unless ``strict``.
+    A line whose frequency is no number is malformed.
     """
     f = _good_fields(lines, "frequencies", params, strict)
-    number = F.get("f", F.lit(2)).cast("long") if strict else F.get("f", F.lit(2)).try_cast("long")
-    rows = f.select(F.get("f", F.lit(0)).alias("word"), F.get("f", F.lit(1)).alias("token"), number.alias("frequency"))
-    return rows.filter(F.col("frequency").isNotNull())
+    number = F.get("f", F.lit(2)).try_cast("long")
+    return f.select(F.get("f", F.lit(0)).alias("word"), F.get("f", F.lit(1)).alias("token"), number.alias("frequency"))
 
 
 def parse_windows(lines: DataFrame, params: Params = Params(), strict: bool = False) -> DataFrame:
@@ -94,7 +99,7 @@ def parse_windows(lines: DataFrame, params: Params = Params(), strict: bool = Fa
     return f.select(
         F.split_part(name, F.lit("_"), F.lit(1)).alias("role"),
         F.regexp_extract(name, "_(.*)$", 1).alias("idx"),
-        F.split(F.get("f", F.lit(1)), ",").cast("array<int>").alias("tokens"),
+        fields(F.get("f", F.lit(1)), ",").cast("array<int>").alias("tokens"),
     )
 
 
@@ -108,7 +113,7 @@ def pair_windows(parsed: DataFrame) -> DataFrame:
 def parse_vector(text: Column) -> Column:
     """``[a, b]`` to ``ARRAY<FLOAT>``; a bad number fails the query."""
     inner = F.regexp_replace(text, r"^\[|\]$", "")
-    return F.transform(F.split(inner, ","), lambda x: F.trim(x).cast("float"))
+    return F.transform(fields(inner, ","), lambda x: F.trim(x).cast("float"))
 
 
 def parse_vectors(lines: DataFrame, params: Params = Params(), strict: bool = False) -> DataFrame:

@@ -38,7 +38,6 @@ def test_only_training_queries_lack_sql():
     assert without == {
         "token_embeddings_autoencoder",
         "token_embeddings_autoencoder_weights",
-        "token_embeddings_word2vec",
     }
 
 

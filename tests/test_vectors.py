@@ -54,26 +54,64 @@ def plain_top(vectors, k):
     return out
 
 
-def check_top(spark, vectors, kind, k=5, block_rows=4096):
+def check_top(spark, vectors, kind, k=5, chunk_bytes=1 << 20):
     frame = spark.createDataFrame(vectors, f"id {kind}, v array<double>").repartition(5)
-    got = sorted(map(tuple, similarity.top_similar(frame, "id", "v", k, block_rows).collect()))
+    got = sorted(map(tuple, similarity.top_similar(frame, "id", "v", k, chunk_bytes).collect()))
     want = sorted(plain_top(vectors, k))
     assert [g[:3] for g in got] == [w[:3] for w in want]
     for g, w in zip(got, want):
         assert (math.isnan(g[3]) and math.isnan(w[3])) or g[3] == pytest.approx(w[3], abs=1e-9)
 
 
-@pytest.mark.parametrize("block_rows", [4096, 16, 7])
-def test_top_similar_matches_all_pairs(spark, block_rows, monkeypatch):
-    monkeypatch.setattr(similarity, "_MIN_BLOCK", 1)
+@pytest.mark.parametrize("chunk_bytes", [1 << 20, 16 * 48, 3 * 48])
+@pytest.mark.parametrize("tile", [4096, 10])
+def test_top_similar_matches_all_pairs(spark, chunk_bytes, tile, monkeypatch):
+    """In one pass and in many, of which the first hold fewer vectors than a list; in one matrix product and in several."""
+    monkeypatch.setattr(similarity, "_MEMBER_ROWS", tile)
     rng = np.random.default_rng(1)
     vectors = [(i, rng.normal(size=6).tolist()) for i in range(120)]
-    check_top(spark, vectors, "long", block_rows=block_rows)
+    check_top(spark, vectors, "long", chunk_bytes=chunk_bytes)
+
+
+def test_similarity_kernel_over_tiles():
+    rng = np.random.default_rng(4)
+    units = rng.integers(-2, 3, size=(300, 4)).astype(float)
+    units = units[np.abs(units).sum(1) > 0]
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    n, members = 6, units.T.copy()
+    others, scores = np.zeros((len(units), 0), int), np.zeros((len(units), 0))
+    for low in range(0, len(units), 4):
+        others, scores = similarity._improved(units, others, scores, members[:, low : low + 4], low, n)
+    keys = np.round(units @ members, 10)
+    want = [np.lexsort((np.arange(len(units)), -row))[:n] for row in keys]
+    assert (others == np.array(want)).all()
+    assert np.allclose(scores, np.take_along_axis(keys, others, 1))
+
+
+def test_top_similar_does_not_shuffle_comparisons(spark):
+    """Unclustered vectors: a pass over the classes has no exchange but the spreading of the classes themselves."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=6).tolist(), [float(i), 1.0]) for i in range(50)]
+    classes = spark.createDataFrame(rows, "place long, unit array<double>, v array<double>")
+    classes = classes.select("*", F.col("place").alias("rep"), F.array("place").alias("ids")).coalesce(1)
+    written = []
+    original = similarity.materialise
+
+    def spy(frame):
+        written.append(frame._jdf.queryExecution().executedPlan().toString())
+        return original(frame)
 
+    similarity.materialise = spy
+    try:
+        best = similarity._nearest_classes(classes, 50, 5, 6, 20 * 48)
+    finally:
+        similarity.materialise = original
+    assert len(written) == 3 and [plan.count("Exchange") for plan in written] == [1, 0, 0]
+    assert all(len(r.best) == 6 for r in best.collect())
 
-@pytest.mark.parametrize("block_rows", [4096, 10])
-def test_top_similar_with_copies_zeros_and_scaled_copies(spark, block_rows, monkeypatch):
-    monkeypatch.setattr(similarity, "_MIN_BLOCK", 1)
+
+@pytest.mark.parametrize("chunk_bytes", [1 << 20, 10 * 32])
+def test_top_similar_with_copies_zeros_and_scaled_copies(spark, chunk_bytes):
     rng = np.random.default_rng(2)
     base = [rng.integers(-3, 4, size=4).astype(float).tolist() for _ in range(60)]
     vectors = [(f"w{i:03d}", v) for i, v in enumerate(base)]
@@ -81,29 +119,7 @@ def test_top_similar_with_copies_zeros_and_scaled_copies(spark, block_rows, monk
     vectors += [(f"c{i:03d}", [1.0, 2.0, 0.0, 1.0]) for i in range(40)]
     vectors += [(f"m{i:03d}", [2.0 + i, 4.0 + 2 * i, 0.0, 2.0 + i]) for i in range(5)]
     vectors += [(f"z{i:03d}", [0.0] * 4) for i in range(8)]
-    check_top(spark, vectors, "string", k=3, block_rows=block_rows)
-
-
-def test_top_similar_prunes_far_blocks(spark, monkeypatch):
-    """Well separated clusters must not be compared with one another, and results stay exact."""
-    monkeypatch.setattr(similarity, "_MIN_BLOCK", 1)
-    rng = np.random.default_rng(3)
-    centres = np.eye(8) * 10
-    vectors = [(i, (centres[i % 8] + rng.normal(scale=0.05, size=8)).tolist()) for i in range(160)]
-    seen = []
-    original = similarity.materialise
-
-    def spy(frame):
-        table = original(frame)
-        if "visit" in table.columns:
-            seen.append(table)
-        return table
-
-    monkeypatch.setattr(similarity, "materialise", spy)
-    check_top(spark, vectors, "long", block_rows=10)
-    blocks = seen[0].select("block").distinct().count()
-    visits = seen[0].select(F.explode("visit")).count()
-    assert blocks >= 16 and visits < blocks * blocks / 2
+    check_top(spark, vectors, "string", k=3, chunk_bytes=chunk_bytes)
 
 
 def test_top_similar_edge_cases(spark):
@@ -126,18 +142,17 @@ def plain_cooccurrence(texts, distance, keep):
     return out
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_cooccurrence_with_small_and_large_vocabulary(spark, docs, broadcast_rows):
+def test_cooccurrence_with_and_without_vocabulary(spark, docs):
     texts = ["a b a c d e a a", "b a", "f", "c c c c c c c"]
     segments = windows.corpus_segments(docs(*texts), tx.words(F.col("text")))
     rows = embeddings.cooccurrence_counts(segments, 4).collect()
     assert {(r.word, r.context): r.n for r in rows} == plain_cooccurrence(texts, 4, set("abcdef"))
     ids = {"a": 10, "c": 11, "e": 12}
     known = spark.createDataFrame(list(ids.items()), "word string, token long")
-    words = embeddings.cooccurrence_counts(segments, 4, known.select("word"), broadcast_rows).collect()
+    words = embeddings.cooccurrence_counts(segments, 4, known.select("word")).collect()
     expected = plain_cooccurrence(texts, 4, set(ids))
     assert {(r.word, r.context): r.n for r in words} == expected
-    tokens = embeddings.cooccurrence_counts(segments, 4, known, broadcast_rows).collect()
+    tokens = embeddings.cooccurrence_counts(segments, 4, known).collect()
     assert {(r.word, r.context): r.n for r in tokens} == {(ids[a], ids[b]): n for (a, b), n in expected.items()}
 
 
@@ -149,22 +164,25 @@ def test_random_index_is_linear_and_wide(spark):
     assert abs(int(got["u"].sum())) < 60
 
 
-def test_context_vectors_equal_those_of_pair_counts(spark, docs, monkeypatch):
-    texts = ["a b a c d e a a", "b a", "f", "c c c c c c c", "d c b a"]
-    segments = windows.corpus_segments(docs(*texts), tx.words(F.col("text")))
-    known = spark.createDataFrame([("a", 10), ("c", 11), ("e", 12), ("b", 13)], "word string, token long")
-    few = embeddings.context_vectors(segments, 4, 60, known)
-    large = embeddings.context_vectors(segments, 4, 60, known, broadcast_rows=0)
-    monkeypatch.setattr(embeddings, "_FEW_TOKENS", 0)
-    middle = embeddings.context_vectors(segments, 4, 60, known)
-    got = {r.token: r.vector for r in few.collect()}
-    assert got == {r.token: r.vector for r in middle.collect()} == {r.token: r.vector for r in large.collect()}
-    assert set(got) == {10, 11, 12, 13} and all(len(v) == 60 for v in got.values())
-    same = spark.createDataFrame([(w, w) for w in "abcdef"], "word string, token string")
-    monkeypatch.setattr(embeddings, "_FEW_TOKENS", 1000)
-    whole = embeddings.context_vectors(segments, 4, 8, same, complete=True).collect()
-    part = embeddings.context_vectors(segments, 4, 8, same).collect()
-    assert sorted(map(tuple, map(str, whole))) == sorted(map(tuple, map(str, part)))
+@pytest.mark.parametrize("block", [4096, 6])
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_context_vectors_equal_those_of_pair_counts(spark, docs, block, threshold):
+    """Over whole documents and cut ones, with every word and with some, by broadcast and by plain joins."""
+    texts = ["a b a c d e a a", "b a", "f", "", "c c c c c c c", "d c b a " * 9]
+    segments = windows.corpus_segments(docs(*texts), tx.words(F.col("text")), block=block, ahead=5)
+    assert max(len(r.tokens) for r in segments.collect()) <= block + 5
+    known = spark.createDataFrame([("a",), ("c",), ("e",), ("b",), ("z",)], "word string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for vocabulary, words in ((None, "abcde"), (known, "abce")):
+            counts = embeddings.cooccurrence_counts(segments, 4, vocabulary)
+            assert {(r.word, r.context): r.n for r in counts.collect()} == plain_cooccurrence(texts, 4, set(words))
+            got = {r.word: r.vector for r in embeddings.context_vectors(segments, 4, 60, vocabulary).collect()}
+            assert got == {r.word: r.vector for r in embeddings.random_index(counts, 60).collect()}
+            assert set(got) == set(words) and all(len(v) == 60 for v in got.values())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_vectors_that_cannot_be_compared(spark):

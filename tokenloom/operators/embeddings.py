@@ -6,30 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.operators.windows import forward_pairs
-from tokenloom.session import fits
 
 # One md5 digest block gives 13 hex digits = 52 sign bits that fit a BIGINT.
 _BITS = 52
-# Up to this many tokens, the pair counts of a task are a small table whatever the text.
-_FEW_TOKENS = 500
 
 
-def cooccurrence_counts(
-    segments: DataFrame, distance: int, vocabulary: DataFrame | None = None, broadcast_rows: int = 1_000_000
-) -> DataFrame:
+def cooccurrence_counts(segments: DataFrame, distance: int, vocabulary: DataFrame | None = None) -> DataFrame:
     """How often two tokens stand at most ``distance`` apart: ``(word, context, n)``, both directions.
 
     Pairs are formed inside each segment and counted unordered, with partial sums before the only shuffle; the two
-    directions are mirrored afterwards. ``vocabulary`` (column ``word``) restricts both sides; if it also has ``token``,
-    the result names words by these short ids. That happens before counting if the vocabulary was counted to be small
-    enough to broadcast, else after counting, by ordinary joins of the much smaller pair table.
+    directions are mirrored afterwards. ``vocabulary`` (column ``word``) restricts both sides of the counted pairs; if it
+    also has ``token``, the result names words by these ids.
     """
     pairs = forward_pairs(segments, distance)
-    early = vocabulary is not None and fits(vocabulary, broadcast_rows)
-    if early:
-        pairs = _restrict(pairs, F.broadcast(vocabulary))
     counts = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("n"))
-    if vocabulary is not None and not early:
+    if vocabulary is not None:
         counts = _restrict(counts, vocabulary)
 
     def directed(word: str, context: str, n: Column) -> Column:
@@ -79,43 +70,27 @@ def random_index(cooccurrence: DataFrame, size: int, key: str = "word") -> DataF
     return _signed_sums(signed, key, F.col("n"), size)
 
 
-def context_vectors(
-    segments: DataFrame,
-    distance: int,
-    size: int,
-    vocabulary: DataFrame,
-    broadcast_rows: int = 1_000_000,
-    complete: bool = False,
-) -> DataFrame:
-    """The vectors of :func:`random_index` straight from the text: ``(token, vector ARRAY<BIGINT>)``.
+def context_vectors(segments: DataFrame, distance: int, size: int, vocabulary: DataFrame | None = None) -> DataFrame:
+    """The vectors of :func:`random_index` straight from the text: ``(word, vector ARRAY<BIGINT>)``.
 
-    ``vocabulary`` is ``(word, token)``: the tokens as they stand in the segments, and the ids to give them;
-    ``complete`` tells that the segments hold nothing else, under these same ids.
-
-    A task's pair counts are few for a small vocabulary, but would outgrow the text for a large one. Vectors are sums
-    over occurrences, so there the counts are left out: with the vocabulary's signs at hand in every task, the only
-    shuffle carries one row of sums per token and task. A vocabulary too large to broadcast has to take the way over
-    pair counts.
+    Vectors are sums over occurrences, so pairs are neither counted nor shuffled: signs are made in the row, summed
+    before the shuffle, and the only shuffle carries one row of sums per token and task. ``vocabulary`` (column ``word``)
+    restricts tokens and contexts, by joins that broadcast it only where its written size allows.
     """
-    vocabulary = vocabulary.select("word", "token")
-    n = vocabulary.count()
-    if n <= _FEW_TOKENS or n > broadcast_rows:
-        counts = cooccurrence_counts(segments, distance, None if complete else vocabulary, broadcast_rows)
-        return random_index(counts, size).withColumnRenamed("word", "token")
-    signs = _signs(F.col("token"), size)
-    names = [f"s{b}" for b in range(len(signs))]
-    known = F.broadcast(vocabulary.select("word", F.struct("token", *signs).alias("entry")))
-    pairs = forward_pairs(segments, distance)
-    for side in ("a", "b"):
-        entry = known.select(F.col("word").alias(side), F.col("entry").alias(f"{side}_entry"))
-        pairs = pairs.join(entry, side).drop(side)
+    signed = F.transform("tokens", lambda t: F.struct(t.alias("token"), *_signs(t, size)))
+    pairs = forward_pairs(segments.withColumn("tokens", signed), distance)
+    masks = [f"s{b}" for b in range(-(-size // _BITS))]
 
     def directed(word: str, context: str) -> Column:
-        masks = [F.col(f"{context}_entry.{name}").alias(name) for name in names]
-        return F.struct(F.col(f"{word}_entry.token").alias("token"), *masks)
+        signs = [F.col(f"{context}.{name}").alias(name) for name in masks]
+        return F.struct(F.col(f"{word}.token").alias("word"), F.col(f"{context}.token").alias("context"), *signs)
 
     both = pairs.select(F.inline(F.array(directed("a", "b"), directed("b", "a"))))
-    return _signed_sums(both, "token", F.lit(1).cast("long"), size)
+    if vocabulary is None:
+        return _signed_sums(both, "word", F.lit(1).cast("long"), size)
+    known = vocabulary.select("word")
+    both = both.join(known.withColumnRenamed("word", "context"), "context", "left_semi")
+    return _signed_sums(both, "word", F.lit(1).cast("long"), size).join(known, "word", "left_semi")
 
 
 def dedup_vectors(tagged: DataFrame, token: str = "token", role: str = "role", vector: str = "vector") -> DataFrame:
@@ -127,25 +102,3 @@ def dedup_vectors(tagged: DataFrame, token: str = "token", role: str = "role", v
     choice = F.struct((F.col(role) != "input").alias("late"), F.col(role).alias("role"), F.col(vector).alias("vector"))
     best = tagged.groupBy(token).agg(F.min(choice).alias("best"))
     return best.select(token, F.col("best.role").alias(role), F.col("best.vector").alias(vector))
-
-
-def word2vec(
-    sentences: DataFrame, size: int, window: int, min_count: int, seed: int, max_words: int = 1_000_000,
-    partitions: int | None = None,
-) -> DataFrame:
-    """Skip-gram vectors by MLlib over ``(tokens ARRAY<STRING>)``: ``(word, vector ARRAY<DOUBLE>)``.
-
-    MLlib keeps the whole vocabulary on the driver, so it is counted first and refused above ``max_words``. It trains one
-    model per partition, one partition per core by default, and averages them; a fixed count repeats best.
-    """
-    from pyspark.ml.feature import Word2Vec
-    from pyspark.ml.functions import vector_to_array
-
-    counts = sentences.select(F.explode("tokens").alias("word")).groupBy("word").count()
-    if not fits(counts.filter(F.col("count") >= min_count), max_words):
-        raise ValueError(f"more than {max_words} words: raise min_count or use another embedding")
-    model = Word2Vec(
-        vectorSize=size, windowSize=window, minCount=min_count, seed=seed, maxIter=1,
-        numPartitions=partitions or sentences.sparkSession.sparkContext.defaultParallelism, inputCol="tokens", outputCol="out",
-    ).fit(sentences)
-    return model.getVectors().select("word", vector_to_array("vector").alias("vector"))

@@ -1,45 +1,44 @@
-"""Exact top-k cosine neighbours of every vector, without forming or shuffling all pairs.
-
-The search is a blocked nearest-neighbour join with angular pruning, after the pivot-based joins of Lu et al.
-(PVLDB 2012):
+"""Exact top-k cosine neighbours of every vector, without forming or shuffling pairs.
 
 1. Copies of a vector are merged into one *class* that remembers its k + 1 smallest ids, the only ones that can appear
    in a result. A group of copies, however large, therefore costs one row.
-2. Classes go to the cell of their nearest pivot; crowded cells are split into blocks of bounded size.
-3. Each block finds its own best scores. They bound from below what a block elsewhere must reach, and the angle between
-   a vector and a cell bounds from above what that cell can offer. Only block pairs that pass are compared.
-4. A compared pair of blocks is one matrix product that emits the best few rows per vector.
+2. Classes are numbered by their smallest id. Each pass ships one stretch of these numbers, of a bounded size in bytes,
+   to every task and compares it with all classes where they lie.
+3. A class carries its best few classes so far from pass to pass. Their worst is a floor that all but a few products
+   fail, so a pass is a matrix product and one comparison per pair, and nothing of it is shuffled.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions.vectors import as_doubles, common_size, norm
+from tokenloom.operators.ordering import global_index
 from tokenloom.session import materialise
 
 # Scores are ranked by their tenth decimal, so that rounding in the last bit cannot swap neighbours.
 _RANK_DECIMALS = 10
-# Allowances for rounding in scores and in the angles that bound them.
-_SLACK = 1e-9
-_ANGLE_SLACK = 1e-6
-_MAX_PIVOTS = 1024
-_QUERY_ROWS = 512
-_MIN_BLOCK = 512
+_BEYOND = 0.4 * 10.0**-_RANK_DECIMALS
+# Vectors on either side of one matrix product.
+_QUERY_ROWS = 256
+_MEMBER_ROWS = 4096
 
 
-def top_similar(vectors: DataFrame, key: str, vector: str, k: int, block_rows: int = 4096) -> DataFrame:
+def top_similar(vectors: DataFrame, key: str, vector: str, k: int, chunk_bytes: int = 64 << 20) -> DataFrame:
     """The ``k`` nearest other tokens of each: ``(key, rank, similar, score)``, ranks from 1.
 
     Ties go to the smaller id. A zero vector, and one with a component that is no finite number, has the score NaN with
-    every other, which ranks last. Null vectors, null components and unequal lengths raise.
+    every other, which ranks last. Null vectors, null components and unequal lengths raise. ``chunk_bytes`` bounds the
+    vectors that are shipped to every task at a time.
     """
-    common_size(vectors, vector)
+    size = common_size(vectors, vector)
     rows = vectors.select(F.col(key).alias("id"), as_doubles(F.col(vector)).alias("v"))
     rows = materialise(rows.select("id", "v", norm(F.col("v")).alias("norm")))
     # NaN counts as greater than every number.
@@ -47,18 +46,18 @@ def top_similar(vectors: DataFrame, key: str, vector: str, k: int, block_rows: i
     stats = rows.agg(F.count_if(defined).alias("nonzero"), F.count_if(~defined).alias("zero")).first()
     zero = rows.filter(~defined).select("id")
     nonzero = rows.filter(defined)
-    classes = materialise(_classes(nonzero, k))
+    classes = materialise(global_index(_classes(nonzero, k), "rep", name="place"))
     n = classes.count()
-    compared = _compared_classes(classes, n, k, block_rows)
-    order = Window.partitionBy("rep").orderBy(F.desc("score_key"), "other")
+    nearest = _nearest_classes(classes, n, k, size, chunk_bytes)
 
     if n == stats.nonzero and not stats.zero:
         # Every class is one vector, so its best classes are the answer.
-        others = compared.filter(F.col("rep") != F.col("other"))
-        ranked = others.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-        return ranked.select(F.col("rep").alias(key), "rank", F.col("other").alias("similar"), "score")
+        others = F.slice(F.filter("best", lambda c: c["other"] != F.col("place")), 1, k)
+        ranked = nearest.select(F.col("rep").alias(key), F.posexplode(others).alias("at", "c"))
+        named = classes.select(F.col("place").alias("other"), F.col("rep").alias("similar"))
+        found = ranked.select(key, (F.col("at") + 1).alias("rank"), "c.other", "c.score").join(named, "other")
+        return found.select(key, "rank", "similar", "score")
 
-    nearest = compared.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1)
     candidates = _candidate_lists(nearest, classes, k)
     # Every vector takes its class's list. The few smallest ids fill up behind it with undefined scores.
     listed = nonzero.select("id", "v").join(candidates, "v").select("id", "list")
@@ -98,90 +97,44 @@ def _classes(nonzero: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _compared_classes(classes: DataFrame, n: int, k: int, block_rows: int) -> DataFrame:
-    """Rows among which are the k + 1 best classes of each class, itself included: ``(rep, other, score_key, score)``."""
+def _nearest_classes(classes: DataFrame, n: int, k: int, size: int, chunk_bytes: int) -> DataFrame:
+    """The k + 1 best classes of each, itself among the equals: ``(place, rep, best ARRAY<STRUCT<other, score>>)``."""
     spark = classes.sparkSession
-    id_type = classes.schema["rep"].dataType.simpleString()
-    result = f"rep {id_type}, other {id_type}, score_key double, score double"
-    rows = min(block_rows, max(_MIN_BLOCK, math.ceil(n / spark.sparkContext.defaultParallelism)))
-    if n <= rows:
-        # One block, which can only visit itself.
-        whole = classes.select(F.lit(0).alias("block"), "rep", "unit", F.lit(-2.0).alias("floor"))
-        held = classes.select(F.lit(0).alias("held"), F.col("rep").alias("member"), F.col("unit").alias("member_unit"))
-        return whole.groupBy("block").cogroup(held.groupBy("held")).applyInPandas(_compare(k + 1), result)
-
-    pivots = min(_MAX_PIVOTS, math.ceil(n / rows))
-    sample = classes.orderBy(F.xxhash64("rep"), "rep").select("unit").limit(4 * pivots).collect()
-    centres = _spread_out(np.array([row.unit for row in sample], dtype=float), pivots)
-
-    celled = classes.select("rep", "unit", _nearest_pivot(centres)(F.col("unit")).alias("c"))
-    # Written down, so that the sizes and radii below hold for exactly these assignments.
-    celled = materialise(celled.select("rep", "unit", F.col("c.cell").alias("cell"), F.col("c.angle").alias("angle")))
-    cells = celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius")).collect()
-
-    # Blocks are numbered on the driver from one row per cell; crowded cells own several.
-    first, radius, parts = np.zeros(pivots, int), np.zeros(pivots), np.zeros(pivots, int)
-    total = 0
-    for row in sorted(cells, key=lambda r: r.cell):
-        first[row.cell], radius[row.cell] = total, row.radius
-        parts[row.cell] = math.ceil(row.n / rows)
-        total += parts[row.cell]
-
-    firsts, splits = (F.array(*[F.lit(int(x)) for x in xs]) for xs in (first, parts))
-    block = F.get(firsts, F.col("cell")) + F.pmod(F.xxhash64("rep"), F.get(splits, F.col("cell"))).cast("int")
-    blocked = celled.select("rep", "unit", block.alias("block"))
-
-    bounds = _own_block_bounds(centres, radius, first, parts, k + 1)
-    scouted = materialise(
-        blocked.groupBy("block").applyInPandas(
-            bounds, f"block int, rep {id_type}, unit array<double>, floor double, visit array<int>"
-        )
-    )
-    visits = scouted.filter(F.col("visit").isNotNull()).select("block", F.explode("visit").alias("target"))
-    queries = visits.join(scouted.select("block", "rep", "unit", "floor"), "block")
-    # Same keys under other names: both sides stem from one table.
-    held = scouted.select(F.col("block").alias("held"), F.col("rep").alias("member"), F.col("unit").alias("member_unit"))
-    wanted = visits.select(F.col("block").alias("asking"), F.col("target").alias("held"))
-    members = wanted.join(held, "held")
-    return (
-        queries.groupBy("block", "target")
-        .cogroup(members.groupBy("asking", "held"))
-        .applyInPandas(_compare(k + 1), result)
-    )
+    no_others, no_scores = F.array().cast("array<bigint>"), F.array().cast("array<double>")
+    best = classes.select("place", "rep", "unit", no_others.alias("others"), no_scores.alias("scores"))
+    cores = spark.sparkContext.defaultParallelism
+    if best.rdd.getNumPartitions() < cores:
+        best = best.repartition(cores, "place")
+    rows = max(1, chunk_bytes // (8 * max(1, size)))
+    for low in range(0, n, rows):
+        stretch = classes.filter((F.col("place") >= low) & (F.col("place") < low + rows)).select("place", "unit")
+        # At most ``chunk_bytes``, in order of place.
+        members = spark.sparkContext.broadcast(_matrix(stretch.toArrow().sort_by("place").column("unit"), size).T.copy())
+        best = materialise(best.mapInArrow(_improve(members, low, k + 1, size), best.schema))
+    pairs = F.arrays_zip(F.col("others").alias("other"), F.col("scores").alias("score"))
+    return best.select("place", "rep", pairs.alias("best"))
 
 
 def _candidate_lists(nearest: DataFrame, classes: DataFrame, k: int) -> DataFrame:
     """Each class's k + 1 best ids, its own included: ``(v, list ARRAY<STRUCT<id, score>>)``."""
-    members = classes.select(F.col("rep").alias("other"), "ids")
-    ids = nearest.join(members, "other").select("rep", "score_key", "score", F.explode("ids").alias("id"))
+    members = classes.select(F.col("place").alias("other"), "ids")
+    near = nearest.select("place", F.inline("best"))
+    ids = near.join(members, "other").select("place", "score", F.explode("ids").alias("id"))
     # At most (k + 1)² short entries per class.
-    entry = F.struct((-F.col("score_key")).alias("order"), F.col("id"), F.col("score"))
-    lists = ids.groupBy("rep").agg(F.slice(F.array_sort(F.collect_list(entry)), 1, k + 1).alias("sorted"))
+    entry = F.struct((-F.round("score", _RANK_DECIMALS)).alias("order"), F.col("id"), F.col("score"))
+    lists = ids.groupBy("place").agg(F.slice(F.array_sort(F.collect_list(entry)), 1, k + 1).alias("sorted"))
     short = F.transform("sorted", lambda c: F.struct(c["id"].alias("id"), c["score"].alias("score")))
-    return classes.select("rep", "v").join(lists, "rep").select("v", short.alias("list"))
+    return classes.select("place", "v").join(lists, "place").select("v", short.alias("list"))
 
 
-def _spread_out(units: np.ndarray, n: int) -> np.ndarray:
-    """``n`` of the vectors, each the farthest from those before it, so that every region gets a pivot."""
-    chosen = [0]
-    closest = units @ units[0]
-    while len(chosen) < n:
-        chosen.append(int(closest.argmin()))
-        closest = np.maximum(closest, units @ units[chosen[-1]])
-    return units[chosen]
+def _matrix(lists: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
+    """Lists of one length as the rows of a matrix."""
+    whole = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    return whole.flatten().to_numpy(zero_copy_only=False).reshape(len(whole), width)
 
 
-def _nearest_pivot(centres: np.ndarray):
-    @F.pandas_udf("cell int, angle double")
-    def nearest(units: pd.Series) -> pd.DataFrame:
-        if not len(units):
-            return pd.DataFrame({"cell": np.array([], "int32"), "angle": np.array([], float)})
-        scores = np.stack(units.to_numpy()) @ centres.T
-        cell = scores.argmax(axis=1)
-        best = np.clip(scores[np.arange(len(cell)), cell], -1.0, 1.0)
-        return pd.DataFrame({"cell": cell.astype("int32"), "angle": np.arccos(best)})
-
-    return nearest
+def _lists(matrix: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1], matrix.ravel())
 
 
 def _best_rows(scores: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -198,57 +151,47 @@ def _best_rows(scores: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return row[place < n], col[place < n]
 
 
-def _own_block_bounds(centres: np.ndarray, radius: np.ndarray, first: np.ndarray, parts: np.ndarray, n: int):
-    """Per block: what each vector already has at its own block, and which blocks could offer it more."""
-
-    def bounds(block: pd.DataFrame) -> pd.DataFrame:
-        units = np.stack(block["unit"].to_numpy())
-        floor = np.full(len(units), -2.0)
-        visit_cells = np.zeros(len(parts), dtype=bool)
-        for start in range(0, len(units), _QUERY_ROWS):
-            part = units[start : start + _QUERY_ROWS]
-            if len(units) >= n:
-                scores = part @ units.T
-                floor[start : start + len(part)] = np.partition(scores, len(units) - n, axis=1)[:, len(units) - n]
-            away = np.arccos(np.clip(part @ centres.T, -1.0, 1.0)) - radius
-            ceiling = np.cos(np.maximum(away - _ANGLE_SLACK, 0.0))
-            visit_cells |= (ceiling + _SLACK >= floor[start : start + len(part), None]).any(axis=0)
-        visit_cells &= parts > 0
-        targets = [int(first[c] + i) for c in np.nonzero(visit_cells)[0] for i in range(parts[c])]
-        visit: list = [None] * len(units)
-        visit[0] = targets
-        return pd.DataFrame(
-            {"block": block["block"], "rep": block["rep"], "unit": block["unit"], "floor": floor, "visit": visit}
-        )
-
-    return bounds
-
-
-def _compare(n: int):
-    """Compare two blocks: each query's ``n`` best members that reach its floor."""
-
-    def compare(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(queries) and len(members):
-            members = members.sort_values("member", ignore_index=True)
-            matrix = np.stack(members["member_unit"].to_numpy()).T
-            for start in range(0, len(queries), _QUERY_ROWS):
-                part = queries.iloc[start : start + _QUERY_ROWS]
-                scores = np.stack(part["unit"].to_numpy()) @ matrix
-                keys = np.round(scores, _RANK_DECIMALS)
-                row, col = _best_rows(keys, n)
-                reached = scores[row, col] >= part["floor"].to_numpy()[row] - _SLACK
-                row, col = row[reached], col[reached]
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "rep": part["rep"].to_numpy()[row],
-                            "other": members["member"].to_numpy()[col],
-                            "score_key": keys[row, col],
-                            "score": scores[row, col],
-                        }
-                    )
-                )
-        return pd.concat(out) if out else pd.DataFrame(columns=["rep", "other", "score_key", "score"])
-
-    return compare
+def _improved(
+    units: np.ndarray, others: np.ndarray, scores: np.ndarray, members: np.ndarray, low: int, n: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The ``n`` best classes of each of ``units``, of those it holds and the columns of ``members``, best first.
+
+    Columns come in order of place, so that one must beat the worst of a full list, not equal it.
+    """
+    for begin in range(0, members.shape[1], _MEMBER_ROWS):
+        products = units @ members[:, begin : begin + _MEMBER_ROWS]
+        if others.shape[1] < n:
+            row, col = _best_rows(np.round(products, _RANK_DECIMALS), n)
+        else:
+            floor = np.round(scores[:, -1], _RANK_DECIMALS) + _BEYOND
+            row, col = np.nonzero(products > floor[:, None])
+            if not len(row):
+                continue
+        rows = np.concatenate((np.repeat(np.arange(len(units)), others.shape[1]), row))
+        found = np.concatenate((others.ravel(), low + begin + col))
+        values = np.concatenate((scores.ravel(), products[row, col]))
+        order = np.lexsort((found, -np.round(values, _RANK_DECIMALS), rows))
+        rows = rows[order]
+        kept = order[np.arange(len(rows)) - np.searchsorted(rows, rows) < n]
+        others, scores = found[kept].reshape(len(units), -1), values[kept].reshape(len(units), -1)
+    return others, scores
+
+
+def _improve(members: Broadcast, low: int, n: int, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A pass over the classes that compares them with those from place ``low`` on."""
+
+    def improve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = members.value
+        held = min(n, low)
+        for batch in batches:
+            if not len(batch):
+                continue
+            units, others, scores = (_matrix(batch.column(i), w) for i, w in ((2, size), (3, held), (4, held)))
+            parts = [
+                _improved(units[q], others[q], scores[q], columns, low, n)
+                for q in (slice(i, i + _QUERY_ROWS) for i in range(0, len(units), _QUERY_ROWS))
+            ]
+            merged = [_lists(np.concatenate(part)) for part in zip(*parts, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *merged], names=batch.schema.names)
+
+    return improve

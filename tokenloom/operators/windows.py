@@ -13,10 +13,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def corpus_segments(docs: DataFrame, tokens: Column, key: str = "doc_id") -> DataFrame:
-    """One segment per document, tokens in reading order."""
-    return docs.select(F.col(key).alias("seq"), F.lit(0).cast("long").alias("start"), tokens.alias("tokens")).select(
-        "seq", "start", F.size("tokens").alias("owned"), "tokens"
+def corpus_segments(docs: DataFrame, tokens: Column, key: str = "doc_id", block: int = 4096, ahead: int = 16) -> DataFrame:
+    """Tokens in reading order, ``block`` of them to a segment with a look-ahead of ``ahead``.
+
+    Windows, and pairs at a distance, must be shorter than the look-ahead. A very long document becomes many rows.
+    """
+    if ahead > block:
+        raise ValueError("a block must be longer than its look-ahead")
+    listed = docs.select(F.col(key).alias("seq"), tokens.alias("tokens"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("tokens") - 1, F.lit(0)), F.lit(block))
+    cut = F.transform(
+        starts, lambda s: F.struct(s.cast("long").alias("start"), F.slice("tokens", s + 1, block + ahead).alias("tokens"))
+    )
+    return listed.select("seq", F.inline(cut)).select(
+        "seq", "start", F.least(F.size("tokens"), F.lit(block)).alias("owned"), "tokens"
     )
 
 

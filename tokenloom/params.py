@@ -24,7 +24,7 @@ class Params:
     order: str = "corpus"  # or "listing": slide over the sorted vocabulary listing
 
     # Embeddings
-    embedding: str = "cooccurrence"  # or "autoencoder" / "word2vec"
+    embedding: str = "cooccurrence"  # or "autoencoder"
     embedding_window: int = 4
     embedding_size: int = 50
     activation: str = "TANH"
@@ -53,7 +53,10 @@ class Params:
     stages: tuple[str, ...] = ("tokenization", "sliding_window", "embedding", "semantic_similarity")
     final_stage: str = "statistics_collated"
 
-    # A table is broadcast only after it was counted at or below this many rows.
-    broadcast_rows: int = 1_000_000
-    # Upper bound of vectors held by one task of the similarity search.
-    block_rows: int = 4096
+    # Bytes of vectors that the similarity search ships to every task at a time.
+    chunk_bytes: int = 64 << 20
+
+    @property
+    def look_ahead(self) -> int:
+        """Tokens that a segment must know beyond its own."""
+        return max(self.window_size, self.embedding_window) + 1

@@ -18,7 +18,6 @@ from tokenloom.sources.tables import read_documents as _docs
 from tokenloom.sources.tables import read_table as _table
 
 WINDOW = 4
-MIN_COUNT = 50
 DIMS = 50
 TOP_K = 5
 
@@ -29,7 +28,7 @@ FIXED_MERGES: subwords.Merges = [
     ("o", "u"), ("d", "e"), ("a", "t"), ("e", "d"), ("i", "on"), ("l", "e"), ("c", "h"), ("u", "n"),
 ]
 
-WORD_PARAMS = Params(tokeniser="word", min_count=MIN_COUNT, embedding_size=DIMS, top_k=TOP_K)
+WORD_PARAMS = Params(tokeniser="word", embedding_size=DIMS, top_k=TOP_K)
 SUBWORD_PARAMS = Params(tokeniser="subword", embedding_size=DIMS, top_k=TOP_K)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -239,21 +238,13 @@ def top_similar_vectors(spark: SparkSession, sf: str) -> DataFrame:
 # Embeddings
 
 
-def _frequent_words(spark: SparkSession, sf: str) -> DataFrame:
-    counted = counts.word_frequency(_docs(spark, sf))
-    # Read twice: once to learn whether it is small, once by the join.
-    return materialise(counted.filter(F.col("frequency") >= MIN_COUNT).select("word"))
-
-
 @query
 def cooccurrence_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return embeddings.cooccurrence_counts(_word_segments(spark, sf), WINDOW, _frequent_words(spark, sf))
+    return embeddings.cooccurrence_counts(_word_segments(spark, sf), WINDOW)
 
 
 def _word_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    known = _frequent_words(spark, sf).select("word", F.col("word").alias("token"))
-    vectors = embeddings.context_vectors(_word_segments(spark, sf), WINDOW, DIMS, known)
-    return vectors.withColumnRenamed("token", "word")
+    return embeddings.context_vectors(_word_segments(spark, sf), WINDOW, DIMS)
 
 
 @query
@@ -263,7 +254,7 @@ def token_embeddings(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def token_embeddings_from_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """The same vectors by way of pair counts, as for a vocabulary that is too large to broadcast."""
+    """The same vectors by way of pair counts."""
     vectors = embeddings.random_index(cooccurrence_counts(spark, sf), DIMS)
     return vectors.select("word", F.posexplode("vector").alias("dim", "value"))
 
@@ -292,12 +283,6 @@ def token_embeddings_autoencoder_weights(spark: SparkSession, sf: str) -> DataFr
     return _autoencoded(spark, sf, "weights")
 
 
-@query
-def token_embeddings_word2vec(spark: SparkSession, sf: str) -> DataFrame:
-    params = Params(tokeniser="word", min_count=MIN_COUNT, embedding="word2vec", embedding_size=DIMS)
-    return _long_vectors(chain.Run(_docs(spark, sf), params).result("embedding"))
-
-
 # Collation and report
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tokenloom.operators.subwords import vocabulary
-from tokenloom.plans.catalogue import DIMS, FIXED_MERGES, MIN_COUNT, SUBWORD_PARAMS, TOP_K, WINDOW
+from tokenloom.plans.catalogue import DIMS, FIXED_MERGES, SUBWORD_PARAMS, TOP_K, WINDOW
 
 _SPACE = r"\t\n\x0B\f\r "
 _STRIPPED = rf"regexp_replace(lower(text), '[^a-z0-9{_SPACE}]', '', 'g')"
@@ -77,15 +77,14 @@ words AS (SELECT doc_id, word, token, pos FROM (
 
 
 # Embedding, similarity and collation over a `words(doc_id, pos, word)` relation. `tok` is the token column.
-def _cooccurrence(tok: str, keep: str) -> str:
+def _cooccurrence(tok: str) -> str:
     offsets = "(SELECT unnest(range(1, {0})) AS d UNION ALL SELECT -unnest(range(1, {0})))".format(WINDOW + 1)
-    return f"""kept AS (SELECT doc_id, pos, {tok} AS word FROM words {keep}),
+    return f"""kept AS (SELECT doc_id, pos, {tok} AS word FROM words),
 shifted AS (SELECT doc_id, pos + d AS pos, word FROM kept, {offsets} o),
 cooc AS (SELECT a.word, b.word AS context, count(*)::bigint AS n
   FROM shifted a JOIN kept b ON a.doc_id = b.doc_id AND a.pos = b.pos GROUP BY ALL)"""
 
 
-_KEEP_FREQUENT = f"WHERE word IN (SELECT word FROM freq WHERE frequency >= {MIN_COUNT})"
 _SIGNS = f"""contexts AS (SELECT DISTINCT context FROM cooc),
 signs AS (SELECT context, d AS dim, CASE WHEN
   ((('0x' || substr(md5(concat(context, ':0')), 1, 13))::bigint >> d) & 1) = 1 THEN 1 ELSE -1 END AS sign
@@ -107,14 +106,14 @@ sim AS (SELECT id, rank, similar_token, score FROM (SELECT *, row_number() OVER
 _WIDE = "wide AS (SELECT word, list(value ORDER BY dim) AS vector FROM emb GROUP BY word)"
 _SIM_VECTORS = _neighbours("embeddings", "vec_id", "embedding")
 _SIM_WORDS = _neighbours("wide", "word", "vector")
-_WORD_EMBEDDING = (*_WORD_PARTS, _FREQUENCY, _cooccurrence("word", _KEEP_FREQUENT), _SIGNS, _EMBEDDED)
+_WORD_EMBEDDING = (*_WORD_PARTS, _FREQUENCY, _cooccurrence("word"), _SIGNS, _EMBEDDED)
 
 _SIM_ID_LISTS = "simlist AS (SELECT id, string_agg(similar_token::varchar, ',' ORDER BY rank) AS similar_tokens FROM sim GROUP BY id)"
 
 _WORD_CHAIN = (
     *_WORD_PARTS, _FREQUENCY, _VOCAB,
-    _cooccurrence("idx", f"JOIN vocab USING (word) WHERE frequency >= {MIN_COUNT}"), _SIGNS, _EMBEDDED, _WIDE,
-    "numbered AS (SELECT word AS token, vector FROM wide)",
+    _cooccurrence("word"), _SIGNS, _EMBEDDED, _WIDE,
+    "numbered AS (SELECT idx AS token, vector FROM wide JOIN vocab USING (word))",
     _neighbours("numbered", "token", "vector"), _SIM_ID_LISTS,
 )
 _RECORD = """SELECT coalesce(f.word, 'N/A') AS word, coalesce(f.token, s.token) AS "intToken",
@@ -235,7 +234,7 @@ ORACLES: dict[str, str] = {
         _SIM_VECTORS, select="SELECT id AS vec_id, rank, similar_token, round(score, 4) AS score FROM sim"
     ),
     "cooccurrence_counts": _with(
-        *_WORD_PARTS, _FREQUENCY, _cooccurrence("word", _KEEP_FREQUENT), select="SELECT word, context, n FROM cooc"
+        *_WORD_PARTS, _FREQUENCY, _cooccurrence("word"), select="SELECT word, context, n FROM cooc"
     ),
     "token_embeddings": _with(*_WORD_EMBEDDING, select="SELECT word, dim, value FROM emb"),
     "token_embeddings_from_counts": _with(*_WORD_EMBEDDING, select="SELECT word, dim, value FROM emb"),
@@ -254,7 +253,7 @@ ORACLES: dict[str, str] = {
     "collated_subwords": _with(
         _IDS,
         _DOC_PIECES,
-        _cooccurrence("token", ""),
+        _cooccurrence("token"),
         _SIGNS,
         _EMBEDDED,
         _WIDE,

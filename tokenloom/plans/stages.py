@@ -72,11 +72,8 @@ def embed_files(spark: SparkSession, source: str, target: str, params: Params =
         vectors = chain.autoencoder_vectors(found, params)
     elif params.embedding == "cooccurrence":
         segments = window_segments(found)
-        tokens = segments.select(F.explode("tokens").alias("word")).distinct()
-        vocabulary = materialise(tokens.select("word", F.col("word").alias("token")))
-        vectors = embeddings.context_vectors(
-            segments, params.embedding_window, params.embedding_size, vocabulary, params.broadcast_rows, complete=True
-        )
+        vectors = embeddings.context_vectors(segments, params.embedding_window, params.embedding_size)
+        vectors = vectors.withColumnRenamed("word", "token")
     else:
         raise ValueError(f"no embedding {params.embedding} from windows")
     sinks.write_lines(sinks.render_vectors(vectors, params), target, params.output_partitions)
@@ -86,7 +83,7 @@ def similarity_files(spark: SparkSession, source: str, target: str, params: Para
     """Vector lines to ``token \\t t(score),…``. Of several vectors for a token one is chosen by a fixed rule."""
     parsed = lines.parse_vectors(lines.read_lines(spark, source, params), params)
     unique = embeddings.dedup_vectors(parsed.withColumn("role", F.lit("input")))
-    found = similarity.top_similar(unique, "token", "vector", params.top_k, params.block_rows)
+    found = similarity.top_similar(unique, "token", "vector", params.top_k, params.chunk_bytes)
     sinks.write_lines(sinks.render_similar(found, params), target, params.output_partitions)
 
 

@@ -78,11 +78,11 @@ def test_similarity_kernel_over_tiles():
     units = rng.integers(-2, 3, size=(300, 4)).astype(float)
     units = units[np.abs(units).sum(1) > 0]
     units /= np.linalg.norm(units, axis=1)[:, None]
-    n, members = 6, units.T.copy()
+    n, short = 6, units.T.astype(np.float32)
     others, scores = np.zeros((len(units), 0), int), np.zeros((len(units), 0))
     for low in range(0, len(units), 4):
-        others, scores = similarity._improved(units, others, scores, members[:, low : low + 4], low, n)
-    keys = np.round(units @ members, 10)
+        others, scores = similarity._improved(units, others, scores, units[low : low + 4], short[:, low : low + 4], low, n)
+    keys = np.round(units @ units.T, 10)
     want = [np.lexsort((np.arange(len(units)), -row))[:n] for row in keys]
     assert (others == np.array(want)).all()
     assert np.allclose(scores, np.take_along_axis(keys, others, 1))

@@ -38,9 +38,9 @@ def top_similar(vectors: DataFrame, key: str, vector: str, k: int, chunk_bytes:
     every other, which ranks last. Null vectors, null components and unequal lengths raise. ``chunk_bytes`` bounds the
     vectors that are shipped to every task at a time.
     """
-    size = common_size(vectors, vector)
     rows = vectors.select(F.col(key).alias("id"), as_doubles(F.col(vector)).alias("v"))
     rows = materialise(rows.select("id", "v", norm(F.col("v")).alias("norm")))
+    size = common_size(rows, "v")
     # NaN counts as greater than every number.
     defined = (F.col("norm") > 0) & (F.col("norm") < float("inf"))
     stats = rows.agg(F.count_if(defined).alias("nonzero"), F.count_if(~defined).alias("zero")).first()
@@ -109,7 +109,7 @@ def _nearest_classes(classes: DataFrame, n: int, k: int, size: int, chunk_bytes:
     for low in range(0, n, rows):
         stretch = classes.filter((F.col("place") >= low) & (F.col("place") < low + rows)).select("place", "unit")
         # At most ``chunk_bytes``, in order of place.
-        members = spark.sparkContext.broadcast(_matrix(stretch.toArrow().sort_by("place").column("unit"), size).T.copy())
+        members = spark.sparkContext.broadcast(_matrix(stretch.toArrow().sort_by("place").column("unit"), size))
         best = materialise(best.mapInArrow(_improve(members, low, k + 1, size), best.schema))
     pairs = F.arrays_zip(F.col("others").alias("other"), F.col("scores").alias("score"))
     return best.select("place", "rep", pairs.alias("best"))
@@ -152,24 +152,34 @@ def _best_rows(scores: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _improved(
-    units: np.ndarray, others: np.ndarray, scores: np.ndarray, members: np.ndarray, low: int, n: int
+    units: np.ndarray, others: np.ndarray, scores: np.ndarray, members: np.ndarray, short: np.ndarray, low: int, n: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """The ``n`` best classes of each of ``units``, of those it holds and the columns of ``members``, best first.
+    """The ``n`` best classes of each of ``units``, of those it holds and the rows of ``members``, best first.
 
-    Columns come in order of place, so that one must beat the worst of a full list, not equal it.
+    Members come in order of place, so that one must beat the worst of a full list, not equal it. A product in single
+    precision of ``short``, the members' transpose, rules out nearly all; the exact one decides on the rest.
     """
-    for begin in range(0, members.shape[1], _MEMBER_ROWS):
-        products = units @ members[:, begin : begin + _MEMBER_ROWS]
+    quick = units.astype(np.float32)
+    # The bound of the rounding error of a product of two unit vectors, in single precision.
+    margin = (units.shape[1] + 4) * 2.0**-23
+    for begin in range(0, len(members), _MEMBER_ROWS):
+        stretch = members[begin : begin + _MEMBER_ROWS]
         if others.shape[1] < n:
+            products = units @ stretch.T
             row, col = _best_rows(np.round(products, _RANK_DECIMALS), n)
+            values = products[row, col]
         else:
             floor = np.round(scores[:, -1], _RANK_DECIMALS) + _BEYOND
-            row, col = np.nonzero(products > floor[:, None])
+            products = quick @ short[:, begin : begin + _MEMBER_ROWS]
+            row, col = np.divmod(np.flatnonzero(products > (floor - margin).astype(np.float32)[:, None]), len(stretch))
+            values = np.einsum("ij,ij->i", units[row], stretch[col])
+            beats = values > floor[row]
+            row, col, values = row[beats], col[beats], values[beats]
             if not len(row):
                 continue
         rows = np.concatenate((np.repeat(np.arange(len(units)), others.shape[1]), row))
         found = np.concatenate((others.ravel(), low + begin + col))
-        values = np.concatenate((scores.ravel(), products[row, col]))
+        values = np.concatenate((scores.ravel(), values))
         order = np.lexsort((found, -np.round(values, _RANK_DECIMALS), rows))
         rows = rows[order]
         kept = order[np.arange(len(rows)) - np.searchsorted(rows, rows) < n]
@@ -181,14 +191,15 @@ def _improve(members: Broadcast, low: int, n: int, size: int) -> Callable[[Itera
     """A pass over the classes that compares them with those from place ``low`` on."""
 
     def improve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = members.value
+        known = members.value
+        short = known.T.astype(np.float32, order="C")
         held = min(n, low)
         for batch in batches:
             if not len(batch):
                 continue
             units, others, scores = (_matrix(batch.column(i), w) for i, w in ((2, size), (3, held), (4, held)))
             parts = [
-                _improved(units[q], others[q], scores[q], columns, low, n)
+                _improved(units[q], others[q], scores[q], known, short, low, n)
                 for q in (slice(i, i + _QUERY_ROWS) for i in range(0, len(units), _QUERY_ROWS))
             ]
             merged = [_lists(np.concatenate(part)) for part in zip(*parts, strict=True)]

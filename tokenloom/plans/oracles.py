@@ -5,6 +5,8 @@ from __future__ import annotations
 from tokenloom.operators.subwords import vocabulary
 from tokenloom.plans.catalogue import DIMS, FIXED_MERGES, SUBWORD_PARAMS, TOP_K, WINDOW
 
+#: Length of the vectors of the table `embeddings`, which SQL has to know.
+VECTOR_SIZE = 64
 _SPACE = r"\t\n\x0B\f\r "
 _STRIPPED = rf"regexp_replace(lower(text), '[^a-z0-9{_SPACE}]', '', 'g')"
 
@@ -92,20 +94,26 @@ signs AS (SELECT context, d AS dim, CASE WHEN
 _EMBEDDED = """emb AS (SELECT word, dim, sum(n * sign)::bigint AS value FROM cooc JOIN signs USING (context) GROUP BY word, dim)"""
 
 
-def _neighbours(source: str, key: str, vector: str) -> str:
-    """Top-k relation `sim(id, rank, similar_token, score)` over a relation with one vector per row."""
-    return f"""vecs AS (SELECT {key} AS id, {vector}::double[] AS v FROM {source}),
-pairs AS (SELECT a.id, b.id AS similar_token, CASE
-    WHEN list_dot_product(a.v, a.v) = 0 OR list_dot_product(b.v, b.v) = 0 THEN 'nan'::double
-    ELSE list_cosine_similarity(a.v, b.v) END AS score
-  FROM vecs a JOIN vecs b ON a.id <> b.id),
+def _neighbours(source: str, key: str, vector: str, width: int) -> str:
+    """Top-k relation `sim(id, rank, similar_token, score)` over a relation with one vector per row.
+
+    Each vector keeps its best k + 1 of all, itself among them or among their equals.
+    """
+    return f"""units AS (SELECT id, row_number() OVER (ORDER BY id) AS rn, n = 0 AS zero,
+    list_transform(v, lambda x: CASE WHEN n = 0 THEN 0 ELSE x / n END)::double[{width}] AS u
+  FROM (SELECT {key} AS id, {vector}::double[] AS v, sqrt(list_dot_product(v, v)) AS n FROM {source})),
+near AS (SELECT a.rn, unnest(min_by(b.rn, (a.zero OR b.zero, -round(array_inner_product(a.u, b.u), 10), b.rn), {TOP_K + 1})) AS other
+  FROM units a, units b GROUP BY a.rn),
+pairs AS (SELECT a.id, b.id AS similar_token,
+    CASE WHEN a.zero OR b.zero THEN 'nan'::double ELSE array_inner_product(a.u, b.u) END AS score
+  FROM near JOIN units a USING (rn) JOIN units b ON near.other = b.rn WHERE near.other <> near.rn),
 sim AS (SELECT id, rank, similar_token, score FROM (SELECT *, row_number() OVER (
     PARTITION BY id ORDER BY isnan(score), round(score, 10) DESC, similar_token)::int AS rank FROM pairs) WHERE rank <= {TOP_K})"""
 
 
 _WIDE = "wide AS (SELECT word, list(value ORDER BY dim) AS vector FROM emb GROUP BY word)"
-_SIM_VECTORS = _neighbours("embeddings", "vec_id", "embedding")
-_SIM_WORDS = _neighbours("wide", "word", "vector")
+_SIM_VECTORS = _neighbours("embeddings", "vec_id", "embedding", VECTOR_SIZE)
+_SIM_WORDS = _neighbours("wide", "word", "vector", DIMS)
 _WORD_EMBEDDING = (*_WORD_PARTS, _FREQUENCY, _cooccurrence("word"), _SIGNS, _EMBEDDED)
 
 _SIM_ID_LISTS = "simlist AS (SELECT id, string_agg(similar_token::varchar, ',' ORDER BY rank) AS similar_tokens FROM sim GROUP BY id)"
@@ -114,7 +122,7 @@ _WORD_CHAIN = (
     *_WORD_PARTS, _FREQUENCY, _VOCAB,
     _cooccurrence("word"), _SIGNS, _EMBEDDED, _WIDE,
     "numbered AS (SELECT idx AS token, vector FROM wide JOIN vocab USING (word))",
-    _neighbours("numbered", "token", "vector"), _SIM_ID_LISTS,
+    _neighbours("numbered", "token", "vector", DIMS), _SIM_ID_LISTS,
 )
 _RECORD = """SELECT coalesce(f.word, 'N/A') AS word, coalesce(f.token, s.token) AS "intToken",
   coalesce(f.frequency, 0)::bigint AS frequency, coalesce(s.similar_tokens, 'N/A') AS similar_tokens

@@ -40,7 +40,9 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _local_scratch.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="tokenloom-"))
+    if sc.applicationId not in _local_scratch:
+        _local_scratch[sc.applicationId] = tempfile.mkdtemp(prefix="tokenloom-")
+    return _local_scratch[sc.applicationId]
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +13,8 @@ from tokenloom.functions import text as tx
 from tokenloom.functions import vectors as vec
 from tokenloom.operators import collate, counts, embeddings, ordering, similarity, subwords, windows
 from tokenloom.params import Params
-from tokenloom.plans import chain
-from tokenloom.session import materialise
+from tokenloom.plans import chain, stages
+from tokenloom.session import materialise, shared_folder
 from tokenloom.sources import lines, sinks
 from tokenloom.sources.tables import read_documents as _docs
 from tokenloom.sources.tables import read_table as _table
@@ -469,3 +471,65 @@ def malformed_counts(spark: SparkSession, sf: str) -> DataFrame:
     for frame in found[1:]:
         merged = merged.unionByName(frame)
     return merged
+
+
+# Files: from text lines to the lines of a stage or the report, through folders
+
+
+def _text_files(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """The documents as a folder of text lines, and a new folder for what is made of them."""
+    base = f"{shared_folder(spark)}/files/{uuid.uuid4().hex}"
+    sinks.write_lines(_docs(spark, sf).select(F.col("text").alias("value")), f"{base}/text")
+    return f"{base}/text", f"{base}/out"
+
+
+def _tokenised_files(spark: SparkSession, sf: str) -> tuple[str, str]:
+    source, out = _text_files(spark, sf)
+    stages.tokenise_files(spark, source, f"{out}/tokenization", WORD_PARAMS)
+    return f"{out}/tokenization", out
+
+
+@query
+def files_tokenised(spark: SparkSession, sf: str) -> DataFrame:
+    path, _ = _tokenised_files(spark, sf)
+    return lines.parse_frequencies(lines.read_lines(spark, path))
+
+
+@query
+def files_windows(spark: SparkSession, sf: str) -> DataFrame:
+    path, out = _tokenised_files(spark, sf)
+    stages.window_files(spark, path, f"{out}/windows", WORD_PARAMS)
+    return lines.read_lines(spark, f"{out}/windows")
+
+
+@query
+def files_similar(spark: SparkSession, sf: str) -> DataFrame:
+    """The vectors of the table as lines, and the lines of their neighbours."""
+    base = f"{shared_folder(spark)}/files/{uuid.uuid4().hex}"
+    vectors = sinks.render_vectors(_table(spark, sf, "embeddings"), token="vec_id", vector="embedding")
+    sinks.write_lines(vectors, f"{base}/vectors")
+    stages.similarity_files(spark, f"{base}/vectors", f"{base}/similar", WORD_PARAMS)
+    return lines.parse_similar(lines.read_lines(spark, f"{base}/similar")).select(
+        "token", F.size("similar").cast("long").alias("n_similar")
+    )
+
+
+@query
+def files_overwritten(spark: SparkSession, sf: str) -> DataFrame:
+    """What an earlier run left in the folder is gone, and the folder has as many files as were asked for."""
+    path, _ = _tokenised_files(spark, sf)
+    vocabulary = _vocabulary(spark, sf).select(F.col("word").alias("value"))
+    sinks.write_lines(vocabulary, path, partitions=3, order="value")
+    found = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"))
+    return found.groupBy("file").agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).agg(
+        F.count("*").alias("n_files"), F.sum("n").alias("n_lines"), F.min("low").alias("first"), F.max("high").alias("last")
+    )
+
+
+@query
+def files_report(spark: SparkSession, sf: str) -> DataFrame:
+    """A shorter list of stages run file by file; the report's records are read back whole."""
+    source, out = _text_files(spark, sf)
+    report = stages.run_files(spark, source, out, replace(WORD_PARAMS, stages=("tokenization",)))
+    records = spark.read.text(report, lineSep="\n\n").filter(F.length("value") > 0)
+    return records.select(F.rtrim("value", F.lit("\n")).alias("record"))

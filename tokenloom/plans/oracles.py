@@ -362,3 +362,21 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT 'vectors', count(*) FILTER (vec_id % 3 <> 0), count(*) FILTER (vec_id % 3 = 0) FROM embeddings""",
     ),
 }
+
+# The same answers, whether the text comes as a table or as lines.
+ORACLES |= {
+    "files_tokenised": _with(*_VOCAB_PARTS, select="SELECT word, idx::varchar AS token, frequency FROM vocab"),
+    "files_windows": ORACLES["tsv_render_windows"],
+    "files_similar": _with(
+        _SIM_VECTORS, select="SELECT id::varchar AS token, count(*)::bigint AS n_similar FROM sim GROUP BY id"
+    ),
+    "files_overwritten": _with(
+        *_VOCAB_PARTS,
+        select="SELECT 3::bigint AS n_files, count(*)::bigint AS n_lines, min(word) AS first, max(word) AS last FROM vocab",
+    ),
+    "files_report": _with(
+        *_VOCAB_PARTS,
+        select="""SELECT 'word: "' || word || '"' || chr(10) || 'intToken: "' || idx::varchar || '"' || chr(10)
+          || 'frequency: ' || frequency::varchar || chr(10) || 'semanticallySimilarTokens: "N/A"' AS record FROM vocab""",
+    ),
+}

@@ -476,10 +476,10 @@ def malformed_counts(spark: SparkSession, sf: str) -> DataFrame:
 # Files: from text lines to the lines of a stage or the report, through folders
 
 
-def _text_files(spark: SparkSession, sf: str) -> tuple[str, str]:
-    """The documents as a folder of text lines, and a new folder for what is made of them."""
+def _text_files(spark: SparkSession, sf: str, table: str = "documents") -> tuple[str, str]:
+    """The texts of a table as a folder of lines, and a new folder for what is made of them."""
     base = f"{shared_folder(spark)}/files/{uuid.uuid4().hex}"
-    sinks.write_lines(_docs(spark, sf).select(F.col("text").alias("value")), f"{base}/text")
+    sinks.write_lines(_table(spark, sf, table).select(F.col("text").alias("value")), f"{base}/text")
     return f"{base}/text", f"{base}/out"
 
 
@@ -530,6 +530,16 @@ def files_overwritten(spark: SparkSession, sf: str) -> DataFrame:
 def files_report(spark: SparkSession, sf: str) -> DataFrame:
     """A shorter list of stages run file by file; the report's records are read back whole."""
     source, out = _text_files(spark, sf)
-    report = stages.run_files(spark, source, out, replace(WORD_PARAMS, stages=("tokenization",)))
+    return _records(spark, stages.run_files(spark, source, out, replace(WORD_PARAMS, stages=("tokenization",))))
+
+
+@query
+def files_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """All stages over the benchmark's texts, each reading the lines that the one before it wrote."""
+    source, out = _text_files(spark, sf, "benchmark")
+    return _records(spark, stages.run_files(spark, source, out, WORD_PARAMS))
+
+
+def _records(spark: SparkSession, report: str) -> DataFrame:
     records = spark.read.text(report, lineSep="\n\n").filter(F.length("value") > 0)
     return records.select(F.rtrim("value", F.lit("\n")).alias("record"))

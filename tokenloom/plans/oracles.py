@@ -363,6 +363,16 @@ ORACLES: dict[str, str] = {
     ),
 }
 
+_BENCHMARK_CHAIN = (
+    _WORD_LISTS.replace("FROM documents", "FROM (SELECT item_id AS doc_id, text FROM benchmark)"),
+    _WORDS, _FREQUENCY, _VOCAB,
+    "listed AS (SELECT 0 AS doc_id, idx AS pos, idx::varchar AS word FROM vocab)",
+    _cooccurrence("word").replace("FROM words", "FROM listed"), _SIGNS, _EMBEDDED, _WIDE, _SIM_WORDS, _SIM_ID_LISTS,
+    "f AS (SELECT word, idx::varchar AS token, frequency FROM vocab)",
+    "s AS (SELECT id AS token, similar_tokens FROM simlist)",
+    f"rec AS ({_RECORD})",
+)
+
 # The same answers, whether the text comes as a table or as lines.
 ORACLES |= {
     "files_tokenised": _with(*_VOCAB_PARTS, select="SELECT word, idx::varchar AS token, frequency FROM vocab"),
@@ -379,4 +389,11 @@ ORACLES |= {
         select="""SELECT 'word: "' || word || '"' || chr(10) || 'intToken: "' || idx::varchar || '"' || chr(10)
           || 'frequency: ' || frequency::varchar || chr(10) || 'semanticallySimilarTokens: "N/A"' AS record FROM vocab""",
     ),
+    "files_chain": _with(
+        *_BENCHMARK_CHAIN,
+        select="""SELECT 'word: "' || word || '"' || chr(10) || 'intToken: "' || "intToken" || '"' || chr(10)
+          || 'frequency: ' || frequency::varchar || chr(10) || 'semanticallySimilarTokens: '
+          || CASE WHEN similar_tokens = 'N/A' THEN '"N/A"' ELSE '["' || replace(similar_tokens, ',', '", "') || '"]' END AS record
+          FROM rec""",
+    ),
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import decontam, licenses, lm, mixing, secrets, sharding, simhash, substring, topk, toxicity
+from tokenloom.llm import decontam, licenses, lm, merkle, mixing, secrets, sharding, simhash, substring, topk, toxicity
 from tokenloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,11 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query
+def op11_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.edited_report(_texts(spark, sf))
+
+
+ORACLES["op11_merkle"] = merkle.SQL

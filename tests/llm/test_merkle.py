@@ -34,12 +34,12 @@ def near(a, b):
 
 
 def plain(rows):
-    ids = sorted({i for i, _ in rows if i is not None})
-    least = {i: min((t or "").encode() for j, t in rows if j == i).decode() for i in ids}
+    rows = [(i, text or "") for i, text in rows]
+    known = sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1].encode()))
+    pairs = [(r, known[(at + 1) % len(known)][1]) for at, r in enumerate(known)] + [(r, None) for r in rows if r[0] is None]
     out = []
-    for i, text in rows:
-        text, n = text or "", len(text or "")
-        after = None if i is None else least[ids[(ids.index(i) + 1) % len(ids)]]
+    for (i, text), after in pairs:
+        n = len(text)
         edited = text[: n - n // 4] + (after or "")[: n // 4]
         a, b = tree(text), tree(edited)
         out.append((i, n, sha(edited), a, b, near(a, b), 0.0 if after is None else near(a, tree(after))))
@@ -58,6 +58,7 @@ EDGES = [
     (5, LONG),
     (5, LONG),
     (5, "The least text of this id"),
+    (-4, "a negative id"),
     (None, "a text without an id, long enough to lose its last quarter"),
     (None, None),
     (9, "日本語の文章。" * 40 + "\n" + "ß𝄞é " * 60),

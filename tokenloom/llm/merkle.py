@@ -11,16 +11,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.operators.ordering import global_index
-
 # Java's and RE2's readings of these patterns agree.
 SECTION = r"(?s).*?[a-mA-M0-4\x{80}-\x{10FFFF}][ .!?]?\n|.+"
 PARAGRAPH = r"(?s).{32,120}?(?:[.,;:!?ensr][ \t\r\n]|\n)|.{1,120}"
 #: Hex digits of a section and of a paragraph in the fingerprint; the root keeps all.
 SECTION_DIGITS, PARAGRAPH_DIGITS = 16, 8
+#: Texts are dealt by ranges of ids of about this many bytes, or larger ones where there would be too many.
+_RANGE_BYTES, _RANGES = 16 << 20, 4096
 
 
 def _let(value: Column, f: Callable[[Column], Column]) -> Column:
@@ -108,44 +108,54 @@ def edits(pairs: DataFrame, before: str, after: str) -> DataFrame:
     return found.select(*pairs.columns, "section", "paragraph", F.col("_p.text").alias("piece"))
 
 
-def successors(docs: DataFrame) -> DataFrame:
-    """``(next_id, owner, need)``: every id with the next larger one, the last with the first.
+def _beside(texts: DataFrame) -> DataFrame:
+    """``texts(doc_id, text)`` without null ids, with ``(next, next_print, fingerprint)`` of the row that follows.
 
-    ``need`` is a quarter of the longest text of the id. Only ids and lengths are sorted.
+    Rows are dealt once, by ranges of ids of about equal size; the rows of a range's first id go to the range before it
+    too, where they follow all others. What the driver sees is two numbers for each range, of which there are at most ``_RANGES``.
     """
-    need = F.max(F.floor(F.char_length(_present(F.col("text"))) / 4).cast("int")).alias("need")
-    ids = docs.groupBy("doc_id").agg(need)
-    placed = global_index(ids, "doc_id", name="place")
-    n = placed.count()
-    later = placed.select(F.pmod(F.col("place") - 1, F.lit(max(n, 1))).alias("place"), F.col("doc_id").alias("next_id"))
-    return placed.join(later, "place").select("next_id", F.col("doc_id").alias("owner"), "need")
+    spark = texts.sparkSession
+    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(n, int((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // _RANGE_BYTES))
+    fractions = [i / min(n, _RANGES) for i in range(1, min(n, _RANGES))]
+    cuts = texts.agg(F.percentile_approx("doc_id", fractions, 10 * len(fractions) + 10000)).first()[0] or []
+    cuts = F.lit(sorted(set(cuts))).cast("array<bigint>")
+    ranged = texts.withColumn("range", F.size(F.filter(cuts, lambda c: c <= F.col("doc_id"))))
+    firsts = sorted(tuple(r) for r in ranged.groupBy("range").agg(F.min("doc_id")).collect())
+    if not firsts:
+        firsts = [(0, None)]
+    first, before = [None] * (firsts[-1][0] + 1), [0] * (firsts[-1][0] + 1)
+    for i, (place, least) in enumerate(firsts):
+        first[place], before[place] = least, firsts[i - 1][0]
+    known = F.lit([x if x is not None else firsts[0][1] or 0 for x in first]).cast("array<bigint>")
+    own = F.struct(F.col("range"), F.lit(False).alias("guest"))
+    guest = F.struct(F.get(F.lit(before).cast("array<int>"), F.col("range")).alias("range"), F.lit(True).alias("guest"))
+    dealt = F.when(F.col("doc_id") == F.get(known, F.col("range")), F.array(own, guest)).otherwise(F.array(own))
+    rows = ranged.select("doc_id", "text", F.inline(dealt)).repartition("range")
+    rows = rows.withColumn("fingerprint", fingerprint(F.col("text")))
+    order = Window.partitionBy("range").orderBy("guest", "doc_id", "text")
+    rows = rows.withColumn("next", F.lead("text").over(order)).withColumn("next_print", F.lead("fingerprint").over(order))
+    return rows.filter(~F.col("guest")).drop("guest", "range")
 
 
 def edited_report(docs: DataFrame) -> DataFrame:
     """Every row of ``docs(doc_id, text)`` with its fingerprint, that of its edited text, and both likenesses.
 
     The edited text has the last quarter (rounded down) of the code points replaced by the first as many, or all, of the
-    next document by id; after the last comes the first, and a single id follows itself. Of rows with equal ids the
-    least text stands for the id when it is next to another; the rows themselves all come back. A row without an id has no
-    next document: its last quarter is dropped and ``near_next`` is 0. Null is the empty text. An empty table gives an
-    empty one, and other columns are not read.
+    next document: the next row by id and, where ids are equal, by text. After the last comes the first, and a single row
+    follows itself. A row without an id has no next document: its last quarter is dropped and ``near_next`` is 0. Null is
+    the empty text. An empty table gives an empty one, and other columns are not read.
 
-    Both joins use one shuffle of the texts by id; what is sent to a document is the start of the next one that it needs.
+    The only shuffle carries the texts, once.
     """
     texts = docs.select(F.col("doc_id").cast("long"), _present(F.col("text")).alias("text"))
-    known = texts.filter(F.col("doc_id").isNotNull())
-    printed = known.withColumn("fingerprint", fingerprint(F.col("text")))
-    start = F.struct(F.substring(F.col("text"), F.lit(1), F.col("need")).alias("start"), F.col("fingerprint").alias("next_print"))
-    nexts = successors(known).join(printed.withColumnRenamed("doc_id", "next_id"), "next_id")
-    # Ids and next ids pair one to one, so this aggregate needs no shuffle of its own.
-    nexts = nexts.groupBy("next_id").agg(F.min("owner").alias("doc_id"), F.min_by(start, "text").alias("next"))
-    both = printed.join(nexts.select("doc_id", "next.start", "next.next_print"), "doc_id")
     alone = texts.filter(F.col("doc_id").isNull()).withColumn("fingerprint", fingerprint(F.col("text")))
-    alone = alone.select("*", F.lit("").alias("start"), F.lit(None).cast("string").alias("next_print"))
-    whole = both.unionByName(alone).withColumn("n_chars", F.char_length("text").cast("long"))
+    alone = alone.select("*", F.lit("").alias("next"), F.lit(None).cast("string").alias("next_print"))
+    whole = _beside(texts.filter(F.col("doc_id").isNotNull())).unionByName(alone)
+    whole = whole.withColumn("n_chars", F.char_length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(
-        F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - cut), F.substring(F.col("start"), F.lit(1), cut)
+        F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - cut), F.substring(F.col("next"), F.lit(1), cut)
     )
     whole = whole.withColumn("edited", edited).withColumn("edited_fingerprint", fingerprint(F.col("edited")))
     return whole.select(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import decontam, licenses, lm, merkle, mixing, secrets, sharding, simhash, substring, topk, toxicity
+from tokenloom.llm import decontam, licenses, lm, merkle, mixing, negatives, phrases, secrets, sharding, simhash, substring, topk, toxicity
 from tokenloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,19 @@ def op11_merkle(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ORACLES["op11_merkle"] = merkle.SQL
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    return negatives.hard_negatives(negatives.changed_labels(table(spark, sf, "embeddings", "vec_id", "embedding", "label")))
+
+
+ORACLES["op12_hard_negatives"] = negatives.SQL
+
+
+@query
+def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf, "documents", "lang", "text"))
+
+
+ORACLES["op13_collocations"] = phrases.SQL

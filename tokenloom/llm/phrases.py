@@ -32,9 +32,11 @@ TOP = 2000
 #: A phrase goes where a longer one around it has at least this share, in per cent, of its occurrences.
 COVER_PERCENT = 100
 UNKNOWN = "und"
-SHARD_WORDS = 4_000_000
+SHARD_WORDS = 3_000_000
 #: Bytes of text that are split into words at a time.
 _SLICE_BYTES = 8 << 20
+#: Counters of places by hash, to pass over rare phrases: two to this many.
+_COUNTER_BITS = 21
 #: A Bloom filter has at most two to this many words of 64 bits (16 MB).
 _FILTER_BITS = 21
 _SEED = 42
@@ -101,7 +103,7 @@ def _flush(held: dict[str, list[tuple[pa.Array, np.ndarray]]]) -> list[Shard]:
         words = coded.dictionary
         digest = xxhash.xxh64_intdigest
         hashes = np.fromiter((digest(w, seed) for w in words.cast(pa.large_binary()).to_pylist()), np.uint64, len(words))
-        shards.append(Shard(lang, words, coded.indices.to_numpy().astype(np.int64), pieces, hashes))
+        shards.append(Shard(lang, words, coded.indices.to_numpy(), pieces, hashes))
     return shards
 
 
@@ -119,10 +121,14 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list[Shard]]:
                     held.setdefault(lang, []).append((words, pieces))
                     n += len(words)
                 if n >= SHARD_WORDS:
-                    yield _flush(held)
+                    shards = _flush(held)
                     held, n = {}, 0
+                    yield shards
+                    del shards
     if held:
-        yield _flush(held)
+        shards = _flush(held)
+        del held
+        yield shards
 
 
 def _mixed(h: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -158,36 +164,48 @@ def bloom(hashes: DataFrame, column: str) -> Bloom:
     return Bloom(out, bits)
 
 
+def _often(hashes: np.ndarray, least: int) -> np.ndarray:
+    """Which hashes share a counter with ``least`` or more, themselves included."""
+    if least < 2:
+        return np.ones(len(hashes), bool)
+    counter = (hashes >> np.uint64(64 - _COUNTER_BITS)).astype(np.int64)
+    return np.bincount(counter, minlength=1 << _COUNTER_BITS)[counter] >= least
+
+
 def _levels(
-    shard: Shard, words: Bloom, max_words: int, kept: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    shard: Shard, words: Bloom, max_words: int, least: int, likely: Callable[[np.ndarray], np.ndarray]
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Phrases of 2 words and more: ``(words, first places, hashes, counts)`` of the distinct ones that ``kept(hashes, counts)`` keeps.
+    """Phrases of 2 words and more that occur ``least`` times: ``(words, first places, hashes, counts)`` of the distinct ones.
 
-    A phrase is looked at only where both its parts of one word less were kept.
+    A phrase is looked at only where both its parts of one word less were, and where ``likely(hashes)`` lets its hash pass; so
+    few, mostly frequent, phrases are told apart by their words.
     """
     n = len(shard.ids)
     alive = words.holds(shard.hashes)[shard.ids]
-    prefix = shard.ids
+    prefix, hashed = shard.ids, shard.hashes[shard.ids]
     for k in range(2, max_words + 1):
         if n < k:
             return
         together = alive[: n - k + 1] & alive[1 : n - k + 2] & (shard.pieces[: n - k + 1] == shard.pieces[k - 1 :])
         places = np.flatnonzero(together)
+        # Of phrases of two words and more, only the hashes at places that are looked at are held.
+        at = hashed[places] if k == 2 else hashed[np.searchsorted(held, places)]
+        at = _mixed(at, shard.hashes[shard.ids[places + k - 1]])
+        passing = likely(at)
+        places, at = places[passing], at[passing]
         if not places.size:
             return
-        codes, uniques = pd.factorize((prefix[places] << 32) | shard.ids[places + k - 1])
+        before = prefix[places] if k == 2 else prefix[np.searchsorted(held, places)]
+        codes, uniques = pd.factorize((before.astype(np.int64) << 32) | shard.ids[places + k - 1])
         counts = np.bincount(codes, minlength=len(uniques))
         first = np.empty(len(uniques), np.int64)
-        first[codes[::-1]] = places[::-1]
-        hashes = shard.hashes[shard.ids[first]]
-        for i in range(1, k):
-            hashes = _mixed(hashes, shard.hashes[shard.ids[first + i]])
-        keep = kept(hashes, counts)
-        yield k, first[keep], hashes[keep], counts[keep]
+        first[codes[::-1]] = np.arange(len(places) - 1, -1, -1)
+        keep = counts >= least
+        yield k, places[first[keep]], at[first[keep]], counts[keep]
+        chosen = keep[codes]
+        held, hashed, prefix = places[chosen], at[chosen], codes[chosen]
         alive = np.zeros(n - k + 1, bool)
-        alive[places] = keep[codes]
-        prefix = np.zeros(n - k + 1, np.int64)
-        prefix[places] = codes
+        alive[held] = True
 
 
 def _rows(names: list[str], columns: list) -> pa.RecordBatch:
@@ -219,7 +237,7 @@ def _local_phrases(texts: DataFrame, words: Bloom, total: int, support: int, max
             share = max(1, -(-support * sum(len(s.ids) for s in shards) // max(1, total)))
             yield _rows(names, [pa.array([None], pa.int64()), [0], [share - 1]])
             for s in shards:
-                for _, _, hashes, counts in _levels(s, words, max_words, lambda _, counts: counts >= share):
+                for _, _, hashes, counts in _levels(s, words, max_words, share, lambda h: _often(h, share)):
                     yield _rows(names, [hashes.view(np.int64), counts - (share - 1), np.zeros(len(counts), np.int64)])
 
     found = texts.mapInArrow(mine, "hash long, above long, missed long")
@@ -232,7 +250,7 @@ def _global_counts(texts: DataFrame, words: Bloom, phrases: Bloom, max_words: in
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shards in _shards(batches):
             for s in shards:
-                for k, first, _, counts in _levels(s, words, max_words, lambda hashes, _: phrases.holds(hashes)):
+                for k, first, _, counts in _levels(s, words, max_words, 1, phrases.holds):
                     parts = [s.words.take(pa.array(s.ids[first + i])) for i in range(k)]
                     phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())).cast(pa.string())
                     size = np.full(len(counts), k, np.int32)

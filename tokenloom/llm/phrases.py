@@ -2,7 +2,7 @@
 
 A shard is what one task gathers, up to ``SHARD_WORDS`` words. A phrase with ``support`` occurrences in all shards reaches, in
 at least one shard, the share of the support that the shard has of all words; so every shard is mined completely, level
-by level, at its share. What a shard leaves out occurs less often there than its share, which bounds the count of a phrase
+by level, at its share, rounded down. What a shard leaves out occurs less often there than its share, which bounds the count of a phrase
 from above; the union of the shards' phrases keeps those whose bound reaches the support. Where there are more shards
 than the support, shares fall to one occurrence, shards leave nothing out and the bound is the count itself.
 
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.session import materialise
+from tokenloom.session import fits, materialise
 
 SUPPORT = 100
 MAX_WORDS = 5
@@ -32,13 +32,15 @@ TOP = 2000
 #: A phrase goes where a longer one around it has at least this share, in per cent, of its occurrences.
 COVER_PERCENT = 100
 UNKNOWN = "und"
-SHARD_WORDS = 3_000_000
+SHARD_WORDS = 6_000_000
 #: Bytes of text that are split into words at a time.
 _SLICE_BYTES = 8 << 20
 #: Counters of places by hash, to pass over rare phrases: two to this many.
 _COUNTER_BITS = 21
 #: A Bloom filter has at most two to this many words of 64 bits (16 MB).
 _FILTER_BITS = 21
+#: Languages up to which their totals are broadcast.
+_BROADCAST_ROWS = 10_000
 _SEED = 42
 
 _WORD, _BLANK, _END = 0, 1, 2
@@ -234,7 +236,7 @@ def _local_phrases(texts: DataFrame, words: Bloom, total: int, support: int, max
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["hash", "above", "missed"]
         for shards in _shards(batches):
-            share = max(1, -(-support * sum(len(s.ids) for s in shards) // max(1, total)))
+            share = max(1, support * sum(len(s.ids) for s in shards) // max(1, total))
             yield _rows(names, [pa.array([None], pa.int64()), [0], [share - 1]])
             for s in shards:
                 for _, _, hashes, counts in _levels(s, words, max_words, share, lambda h: _often(h, share)):
@@ -308,7 +310,9 @@ def collocations(
     parts = found.filter(F.col("size").between(1, max_words - 1))
     cuts = cuts.join(parts.select("lang", F.col("phrase").alias("first"), F.col("a").alias("l")), ["lang", "first"])
     cuts = cuts.join(parts.select("lang", F.col("phrase").alias("rest"), F.col("a").alias("r")), ["lang", "rest"])
-    cuts = cuts.join(found.filter("size = 0").select("lang", F.col("a").alias("n")), "lang")
+    totals = found.filter("size = 0").select("lang", F.col("a").alias("n"))
+    # A language can hold most phrases, so its number of words goes to them; very many languages are joined.
+    cuts = cuts.join(F.broadcast(totals) if fits(totals, _BROADCAST_ROWS) else totals, "lang")
     # Products of two counts may pass 64 bits; these are whole numbers of 38 digits.
     whole = "CAST({} AS DECIMAL(19, 0))".format
     score = F.expr(f"CAST(1000 AS DECIMAL(4, 0)) * ({whole('a')} * {whole('n')}) DIV ({whole('l')} * {whole('r')})")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import text as tx
 from tokenloom.operators import counts, subwords
-from tokenloom.plans.catalogue import FIXED_MERGES
+from tokenloom.plans.catalogue import FIXED_MERGES, WIDE_MERGES
 
 
 def plain_training(frequencies, n):
@@ -42,12 +42,13 @@ def plain_merge(parts, pair):
 TEXTS = ["low lower lowest newer new wide wider aaaa aaa aa abab ababab", "banana bandana cabana abcabc 123456 1234", "the then them"]
 
 
-@pytest.mark.parametrize("n, rewrite_every", [(1, 32), (10, 3), (25, 32), (500, 7)])
-def test_training_equals_one_merge_at_a_time(docs, n, rewrite_every):
+@pytest.mark.parametrize("n, tried, rewritten", [(1, 32, 256), (10, 3, 4), (25, 32, 256), (500, 7, 9), (20, 1, 1)])
+def test_training_equals_one_merge_at_a_time(docs, n, tried, rewritten, monkeypatch):
+    monkeypatch.setattr(subwords, "_REWRITTEN", rewritten)
     frame = docs(*TEXTS)
     frequencies = {r.piece: r.frequency for r in counts.pretoken_frequency(frame).collect()}
     expected, words = plain_training(frequencies, n)
-    merges = subwords.train_merges(frame, n, rewrite_every=rewrite_every)
+    merges = subwords.train_merges(frame, n, tried=tried)
     assert merges == expected
     ranks = subwords.rank_table(merges)
     assert {w: subwords.merge_word(w, ranks) for w in words} == words
@@ -63,27 +64,67 @@ def test_training_without_pairs(docs):
     assert subwords.train_merges(docs("a b c", ""), 5) == []
 
 
-def test_fold_and_lookup_agree(spark, docs, monkeypatch):
+def plain_encoding(word, merges):
+    parts = list(word)
+    for pair in merges:
+        parts = plain_merge(parts, pair)
+    return parts
+
+
+def test_words_are_merged_in_rank_order():
+    """Random tables, in which pairs come up again at later ranks, and words with long runs."""
+    draw = random.Random(5)
+    for _ in range(300):
+        letters, pieces, merges = "abc"[: draw.randint(1, 3)], set("abc"), []
+        for _ in range(draw.randint(1, 12)):
+            pair = (draw.choice(sorted(pieces)), draw.choice(sorted(pieces)))
+            merges.append(pair)
+            pieces.add("".join(pair))
+        ranks = subwords.rank_table(merges)
+        for _ in range(5):
+            word = "".join(draw.choices(letters, k=draw.randint(0, 30)))
+            assert subwords.merge_word(word, ranks) == plain_encoding(word, merges)
+
+
+def test_a_very_long_word_is_merged_quickly():
+    merges = [("a", "b")] + [("ab" * 2**i, "ab" * 2**i) for i in range(12)]
+    assert subwords.merge_word("ab" * 2**15, subwords.rank_table(merges)) == ["ab" * 2**12] * 8
+
+
+def test_pieces_of_the_small_corpus(spark):
     frame = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     pieces = counts.pretoken_frequency(frame).select("piece")
-    fold = pieces.select("piece", subwords.encode_pieces(F.col("piece"), FIXED_MERGES).alias("p"))
-    monkeypatch.setattr(subwords, "FOLD_LIMIT", 0)
-    lookup = pieces.select("piece", subwords.encode_pieces(F.col("piece"), FIXED_MERGES).alias("p"))
-    assert fold.exceptAll(lookup).count() == 0
-    assert all("".join(r.p) == r.piece for r in fold.collect())
+    for merges in (FIXED_MERGES, WIDE_MERGES):
+        rows = pieces.select("piece", subwords.encode_pieces(F.col("piece"), merges).alias("p")).collect()
+        assert all(r.p == plain_encoding(r.piece, merges) for r in rows[:: 1 if merges is FIXED_MERGES else 25])
 
 
-def test_document_encodings_agree(docs, monkeypatch):
+def test_document_encodings_agree(docs):
     frame = docs("The thin thing, and then 12345!", "", None, "one", "?")
-    ids = {r.doc_id: r.tokens for r in subwords.encode_documents(frame, FIXED_MERGES).collect()}
-    by_fold = {r.doc_id: r.tokens for r in subwords.document_pieces(frame, FIXED_MERGES).collect()}
-    monkeypatch.setattr(subwords, "FOLD_LIMIT", 0)
-    by_id = {r.doc_id: r.tokens for r in subwords.document_pieces(frame, FIXED_MERGES).collect()}
-    pieces = subwords.vocabulary(FIXED_MERGES)
-    ranks = subwords.rank_table(FIXED_MERGES)
-    expected = [p for w in "the thin thing and then 123 45".split() for p in subwords.merge_word(w, ranks)]
-    assert [pieces[i] for i in ids[0]] == expected == by_fold[0] == by_id[0]
-    assert ids[1] == [] and ids[4] == []
+    for merges in (FIXED_MERGES, WIDE_MERGES, []):
+        ids = {r.doc_id: r.tokens for r in subwords.encode_documents(frame, merges).collect()}
+        named = {r.doc_id: r.tokens for r in subwords.document_pieces(frame, merges).collect()}
+        pieces = subwords.vocabulary(merges)
+        expected = [p for w in "the thin thing and then 123 45".split() for p in plain_encoding(w, merges)]
+        assert [pieces[i] for i in ids[0]] == expected == named[0]
+        assert ids[1] == [] == ids[4] == named[1]
+
+
+def test_a_truncated_pair_table_is_counted_anew(spark, monkeypatch):
+    """With few pairs held, others come up: the merges stay those of one at a time."""
+    counted = subwords._counted_pairs
+    limits = []
+
+    def few(split, done, limit, pieces):
+        limits.append(limit)
+        return counted(split, done, 4, pieces)
+
+    monkeypatch.setattr(subwords, "_counted_pairs", few)
+    draw = random.Random(3)
+    words = {"".join(draw.choices("abcde", k=draw.randint(2, 7))): draw.randint(1, 30) for _ in range(40)}
+    frame = spark.createDataFrame(list(words.items()), "piece string, frequency long")
+    assert subwords.merges_of_pieces(frame, 25) == plain_training(words, 25)[0]
+    assert len(limits) > 2
 
 
 def test_frequency_matches_document_tokens(spark):

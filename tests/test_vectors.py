@@ -1,4 +1,5 @@
 import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -40,6 +41,20 @@ def test_dedup_prefers_input(spark):
     assert got == {1: ("input", [2.0]), 2: ("label", [3.0]), 3: ("input", [4.0])}
 
 
+def test_dedup_of_nulls_ties_and_repeats(spark):
+    rows = [(1, "input", None), (1, "input", []), (1, "input", [9.0]), (2, "input", None), (2, "label", [1.0])]
+    rows += [(3, "label", [2.0, 3.0]), (3, "label", [2.0, 1.0]), (3, "zero", [0.0]), (None, "input", [1.0]), (None, None, [0.0])]
+    rows += [(4, "input", [5.0, float(i % 3)]) for i in range(40)] + [(5, None, [7.0]), (5, "label", [1.0])]
+    frame = spark.createDataFrame(rows, "token int, role string, vector array<double>")
+    found = embeddings.dedup_vectors(frame)
+    got = {r.token: (r.role, r.vector) for r in found.collect()}
+    assert got == {
+        1: ("input", [9.0]), 2: ("input", None), 3: ("label", [2.0, 1.0]), None: ("input", [1.0]), 4: ("input", [5.0, 0.0]), 5: (None, [7.0]),
+    }
+    assert "HashAggregate(keys=[t" in found._jdf.queryExecution().executedPlan().toString()
+    assert embeddings.dedup_vectors(frame.limit(0)).count() == 0
+
+
 def plain_top(vectors, k):
     out = []
     for a, va in vectors:
@@ -66,48 +81,68 @@ def check_top(spark, vectors, kind, k=5, chunk_bytes=1 << 20):
 @pytest.mark.parametrize("chunk_bytes", [1 << 20, 16 * 48, 3 * 48])
 @pytest.mark.parametrize("tile", [4096, 10])
 def test_top_similar_matches_all_pairs(spark, chunk_bytes, tile, monkeypatch):
-    """In one pass and in many, of which the first hold fewer vectors than a list; in one matrix product and in several."""
-    monkeypatch.setattr(similarity, "_MEMBER_ROWS", tile)
+    """In one stretch and in many, some shorter than a list; packed in one row and in several."""
+    monkeypatch.setattr(similarity, "_PACK", tile)
     rng = np.random.default_rng(1)
     vectors = [(i, rng.normal(size=6).tolist()) for i in range(120)]
     check_top(spark, vectors, "long", chunk_bytes=chunk_bytes)
 
 
-def test_similarity_kernel_over_tiles():
+@pytest.mark.parametrize("rows,columns,dense", [(512, 2048, 1 / 16), (7, 5, 1 / 16), (16, 64, 0.0), (16, 64, 1.0)])
+def test_similarity_kernel_over_tiles(rows, columns, dense, monkeypatch):
+    """Very many ties: two stretches, their own pairs and those between them, against a plain sort."""
+    for name, value in (("_ROWS", rows), ("_COLUMNS", columns), ("_DENSE", dense)):
+        monkeypatch.setattr(similarity, name, value)
     rng = np.random.default_rng(4)
     units = rng.integers(-2, 3, size=(300, 4)).astype(float)
     units = units[np.abs(units).sum(1) > 0]
     units /= np.linalg.norm(units, axis=1)[:, None]
-    n, members = 6, units.T.copy()
-    others, scores = np.zeros((len(units), 0), int), np.zeros((len(units), 0))
-    for low in range(0, len(units), 4):
-        others, scores = similarity._improved(units, others, scores, members[:, low : low + 4], low, n)
-    keys = np.round(units @ members, 10)
-    want = [np.lexsort((np.arange(len(units)), -row))[:n] for row in keys]
-    assert (others == np.array(want)).all()
-    assert np.allclose(scores, np.take_along_axis(keys, others, 1))
-
-
-def test_top_similar_does_not_shuffle_comparisons(spark):
-    """Unclustered vectors: a pass over the classes has no exchange but the spreading of the classes themselves."""
-    rng = np.random.default_rng(5)
-    rows = [(i, rng.normal(size=6).tolist(), [float(i), 1.0]) for i in range(50)]
-    classes = spark.createDataFrame(rows, "place long, unit array<double>, v array<double>")
-    classes = classes.select("*", F.col("place").alias("rep"), F.array("place").alias("ids")).coalesce(1)
-    written = []
-    original = similarity.materialise
+    n, cut = 6, 120
+    keys = np.round(units @ units.T, 10)
+    found = {}
+    for a, b in ((slice(0, cut), None), (slice(cut, None), None), (slice(0, cut), slice(cut, None))):
+        second = (None, 0) if b is None else (units[b], b.start)
+        for low, best in similarity._compare(units[a], a.start, *second, n):
+            for i, (others, scores) in enumerate(zip(best.others, best.scores)):
+                found.setdefault(low + i, []).extend(zip(-np.round(scores, 10), others))
+    for i, row in enumerate(keys):
+        assert [other for _, other in sorted(found[i])[:n]] == np.lexsort((np.arange(len(units)), -row))[:n].tolist()
+
+
+@pytest.mark.parametrize("size", [1, 3, 50, 768])
+def test_single_precision_stays_within_its_bound(size):
+    rng = np.random.default_rng(size)
+    units = np.concatenate((rng.normal(size=(200, size)), np.exp(rng.normal(scale=9, size=(200, size)))))
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    single = units.astype(np.float32) @ units.astype(np.float32).T
+    assert np.abs(single - units @ units.T).max() <= similarity._rounding(size)
 
-    def spy(frame):
-        written.append(frame._jdf.queryExecution().executedPlan().toString())
-        return original(frame)
 
-    similarity.materialise = spy
-    try:
-        best = similarity._nearest_classes(classes, 50, 5, 6, 20 * 48)
-    finally:
-        similarity.materialise = original
-    assert len(written) == 3 and [plan.count("Exchange") for plan in written] == [1, 0, 0]
-    assert all(len(r.best) == 6 for r in best.collect())
+def test_returned_products_are_chains_of_fused_additions():
+    rng = np.random.default_rng(8)
+    a, b = rng.normal(size=(60, 50)), rng.normal(size=(60, 50)) * np.exp(rng.normal(scale=4, size=(60, 50)))
+    want = []
+    for x, y in zip(a.tolist(), b.tolist()):
+        total = 0.0
+        for p, q in zip(x, y):
+            total = float(Fraction(p) * Fraction(q) + Fraction(total))
+        want.append(total)
+    rows = np.arange(60)
+    assert similarity._chained(a, rows, b, rows).tolist() == want
+
+
+def test_top_similar_sends_vectors_and_short_lists_only(spark):
+    """What travels is every stretch once per stretch, then k + 1 entries per vector and stretch."""
+    rng = np.random.default_rng(5)
+    units = rng.normal(size=(50, 6))
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    rows = [(i, unit.tolist(), [float(i), 1.0]) for i, unit in enumerate(units)]
+    classes = spark.createDataFrame(rows, "place long, unit array<double>, v array<double>")
+    classes = classes.select("*", F.col("place").alias("rep"), F.array("place").alias("ids"))
+    best = similarity._nearest_classes(classes, 50, 5, 6, 20 * 48)
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert all(len(r.best) == 6 and r.best[0].other == r.place for r in best.collect())
 
 
 @pytest.mark.parametrize("chunk_bytes", [1 << 20, 10 * 32])

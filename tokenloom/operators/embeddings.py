@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,10 @@ from tokenloom.operators.windows import forward_pairs
 
 # One md5 digest block gives 13 hex digits = 52 sign bits that fit a BIGINT.
 _BITS = 52
+# Packed signs: eight dimensions lie in the bytes of one BIGINT, four in each half.
+_LANES, _HALF = 8, 4
+# The greatest sum of signs that a byte can hold without touching the sign of the BIGINT.
+_MOST_IN_LANE = 127
 
 
 def cooccurrence_counts(segments: DataFrame, distance: int, vocabulary: DataFrame | None = None) -> DataFrame:
@@ -70,35 +76,81 @@ def random_index(cooccurrence: DataFrame, size: int, key: str = "word") -> DataF
     return _signed_sums(signed, key, F.col("n"), size)
 
 
+def _packed(signs: Column, size: int) -> Column:
+    """The sign bits of a struct of :func:`_signs` as bytes of longs: a struct ``(token, l0, l1, …)``."""
+
+    def half(first: int) -> Column:
+        if first >= size:
+            return F.lit(0).cast("long")
+        bits = F.shiftright(signs[f"s{first // _BITS}"], first % _BITS).bitwiseAND(F.lit((1 << min(_HALF, size - first)) - 1))
+        # Copies of the four bits 7 places apart put bit i at place 8 i; what falls between is masked out.
+        return (bits * F.lit(0x204081).cast("long")).bitwiseAND(F.lit(0x01010101))
+
+    longs = [half(d).bitwiseOR(F.shiftleft(half(d + _HALF), 32)).alias(f"l{d // _LANES}") for d in range(0, size, _LANES)]
+    return F.struct(signs["token"].alias("token"), *longs)
+
+
+def _neighbour_sums(segments: DataFrame, distance: int, size: int) -> DataFrame:
+    """One row per place of a segment: ``(word, near, l0, l1, …)``, the packed signs of its neighbours added up.
+
+    A pair of neighbours belongs to the segment that owns the earlier one, so a place in the look-ahead has the
+    neighbours before it that are owned, and an owned one all those after it.
+    """
+    signed = F.transform("tokens", lambda t: F.struct(t.alias("token"), *_signs(t, size)))
+    rows = segments.select("owned", F.transform(signed, lambda s: _packed(s, size)).alias("signs"))
+    reach = F.least(F.size("signs"), F.col("owned") + distance)
+    rows = rows.select("owned", "signs", F.explode(F.when(reach > 0, F.sequence(F.lit(0), reach - 1))).alias("i"))
+    i, owned, beyond = F.col("i"), F.col("owned"), F.lit(-1)
+    after = [F.get("signs", F.when(i < owned, i + d).otherwise(beyond)).alias(f"a{d}") for d in range(1, distance + 1)]
+    before = [F.get("signs", F.when(i - d < owned, i - d).otherwise(beyond)).alias(f"b{d}") for d in range(1, distance + 1)]
+    near = rows.select(F.get("signs", i)["token"].alias("word"), *after, *before)
+    names = [f"{side}{d}" for side in "ab" for d in range(1, distance + 1)]
+
+    def total(each: list[Column]) -> Column:
+        return reduce(lambda a, b: a + b, each)
+
+    count = total([F.col(n).isNotNull().cast("int") for n in names]).cast("long").alias("near")
+    lanes = range(-(-size // _LANES))
+    zero = F.lit(0).cast("long")
+    sums = [total([F.coalesce(F.col(f"{n}.l{k}"), zero) for n in names]).alias(f"l{k}") for k in lanes]
+    return near.select("word", count, *sums).filter("near > 0")
+
+
 def context_vectors(segments: DataFrame, distance: int, size: int, vocabulary: DataFrame | None = None) -> DataFrame:
     """The vectors of :func:`random_index` straight from the text: ``(word, vector ARRAY<BIGINT>)``.
 
-    Vectors are sums over occurrences, so pairs are neither counted nor shuffled: signs are made in the row, summed
-    before the shuffle, and the only shuffle carries one row of sums per token and task. ``vocabulary`` (column ``word``)
-    restricts tokens and contexts, by joins that broadcast it only where its written size allows.
+    Vectors are sums over occurrences, so pairs are neither formed nor counted: signs are made in the row and those of
+    an occurrence's neighbours added there, eight dimensions to a long. The only shuffle carries one row of sums per token and
+    task. ``vocabulary`` (column ``word``) restricts tokens and contexts, by way of counted pairs.
     """
-    signed = F.transform("tokens", lambda t: F.struct(t.alias("token"), *_signs(t, size)))
-    pairs = forward_pairs(segments.withColumn("tokens", signed), distance)
-    masks = [f"s{b}" for b in range(-(-size // _BITS))]
+    if vocabulary is not None or 2 * distance > _MOST_IN_LANE:
+        known = None if vocabulary is None else vocabulary.select("word")
+        return random_index(cooccurrence_counts(segments, distance, known), size)
 
-    def directed(word: str, context: str) -> Column:
-        signs = [F.col(f"{context}.{name}").alias(name) for name in masks]
-        return F.struct(F.col(f"{word}.token").alias("word"), F.col(f"{context}.token").alias("context"), *signs)
+    def positive(d: int) -> Column:
+        lane = F.shiftright(F.col(f"l{d // _LANES}"), 8 * (d % _LANES)).bitwiseAND(F.lit(255))
+        return F.sum(lane).alias(f"p{d}")
 
-    both = pairs.select(F.inline(F.array(directed("a", "b"), directed("b", "a"))))
-    if vocabulary is None:
-        return _signed_sums(both, "word", F.lit(1).cast("long"), size)
-    known = vocabulary.select("word")
-    both = both.join(known.withColumnRenamed("word", "context"), "context", "left_semi")
-    return _signed_sums(both, "word", F.lit(1).cast("long"), size).join(known, "word", "left_semi")
+    rows = _neighbour_sums(segments, distance, size)
+    sums = rows.groupBy("word").agg(F.sum("near").alias("total"), *[positive(d) for d in range(size)])
+    return sums.select("word", F.array(*[F.col(f"p{d}") * 2 - F.col("total") for d in range(size)]).alias("vector"))
 
 
 def dedup_vectors(tagged: DataFrame, token: str = "token", role: str = "role", vector: str = "vector") -> DataFrame:
-    """One vector per token: that of role ``input`` where there is one, else that of ``label``.
+    """One vector per token: that of role ``input`` where there is one, else that of the first other role by name.
 
-    ``min_by`` is an aggregate with map-side partial results, so a token with very many vectors stays cheap. Equal
-    roles are settled by the vector itself.
+    Equal roles are settled by the smaller vector; a null or empty one is taken only where the role has no other, and a null
+    role comes before names. All rows take part in an aggregate of one number per token, the least first component of its
+    inputs, which Spark keeps in a hash table and reduces before the shuffle. Whole vectors are compared only among the rows
+    that reach it, or where a token has no input.
     """
-    choice = F.struct((F.col(role) != "input").alias("late"), F.col(role).alias("role"), F.col(vector).alias("vector"))
-    best = tagged.groupBy(token).agg(F.min(choice).alias("best"))
-    return best.select(token, F.col("best.role").alias(role), F.col("best.vector").alias(vector))
+    is_input = F.coalesce(F.col(role) == "input", F.lit(False))
+    head = F.get(F.col(vector), F.lit(0)).cast("double")
+    rows = tagged.select(F.col(token).alias("t"), F.col(role).alias("r"), F.col(vector).alias("v"), is_input.alias("own"), head.alias("head"))
+    inputs = rows.filter("own").groupBy("t").agg(F.min("head").alias("least"), F.count("*").alias("n"))
+    inputs = inputs.withColumnRenamed("t", "u")
+    joined = rows.join(inputs, F.col("t").eqNullSafe(F.col("u")), "left")
+    reached = joined.filter(F.col("n").isNull() | (F.col("own") & F.col("head").eqNullSafe(F.col("least"))))
+    order = F.struct("r", F.col("head").isNull().alias("none"), F.col("v").isNull().alias("null"), "v")
+    best = reached.groupBy("t").agg(F.min(order).alias("best"))
+    return best.select(F.col("t").alias(token), F.col("best.r").alias(role), F.col("best.v").alias(vector))

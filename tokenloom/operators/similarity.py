@@ -2,10 +2,11 @@
 
 1. Copies of a vector are merged into one *class* that remembers its k + 1 smallest ids, the only ones that can appear
    in a result. A group of copies, however large, therefore costs one row.
-2. Classes are numbered by their smallest id. Each pass ships one stretch of these numbers, of a bounded size in bytes,
-   to every task and compares it with all classes where they lie.
-3. A class carries its best few classes so far from pass to pass. Their worst is a floor that all but a few products
-   fail, so a pass is a matrix product and one comparison per pair, and nothing of it is shuffled.
+2. Classes are numbered by their smallest id and cut into stretches of a bounded size in bytes. A task gets two
+   stretches and compares them once for both sides; what travels is packed vectors, and nothing passes through the driver.
+3. Products are taken in single precision first. Their rounding error has a proven bound, so those that cannot reach a
+   list are certain to be out; the few others are taken again in double precision, which alone decides.
+4. A task returns the best few of each of its classes, and these short lists are merged per class.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,18 +25,21 @@ from tokenloom.session import materialise
 
 # Scores are ranked by their tenth decimal, so that rounding in the last bit cannot swap neighbours.
 _RANK_DECIMALS = 10
-_BEYOND = 0.4 * 10.0**-_RANK_DECIMALS
-# Vectors on either side of one matrix product.
-_QUERY_ROWS = 256
-_MEMBER_ROWS = 4096
+_BEYOND = 1.1 * 10.0**-_RANK_DECIMALS
+# Vectors on either side of one matrix product, and vectors that travel as one row.
+_ROWS = 512
+_COLUMNS = 2048
+_PACK = 1024
+# Above this share of a tile, products are taken anew as a whole instead of one by one.
+_DENSE = 1 / 16
 
 
-def top_similar(vectors: DataFrame, key: str, vector: str, k: int, chunk_bytes: int = 64 << 20) -> DataFrame:
+def top_similar(vectors: DataFrame, key: str, vector: str, k: int, chunk_bytes: int = 16 << 20) -> DataFrame:
     """The ``k`` nearest other tokens of each: ``(key, rank, similar, score)``, ranks from 1.
 
     Ties go to the smaller id. A zero vector, and one with a component that is no finite number, has the score NaN with
-    every other, which ranks last. Null vectors, null components and unequal lengths raise. ``chunk_bytes`` bounds the
-    vectors that are shipped to every task at a time.
+    every other, which ranks last. Null vectors, null components and unequal lengths raise. ``chunk_bytes`` bounds a
+    stretch, two of which a task holds at a time.
     """
     rows = vectors.select(F.col(key).alias("id"), as_doubles(F.col(vector)).alias("v"))
     rows = materialise(rows.select("id", "v", norm(F.col("v")).alias("norm")))
@@ -97,22 +100,38 @@ def _classes(nonzero: DataFrame, k: int) -> DataFrame:
     )
 
 
+def _stretches(n: int, size: int, cores: int, chunk_bytes: int) -> int:
+    """How many stretches ``n`` classes are cut into: by size, and so that every core has a few pairs of them."""
+    by_size = -(-8 * n * max(1, size) // chunk_bytes)
+    by_cores = min(math.isqrt(6 * cores) + 1, -(-n // _COLUMNS))
+    return max(1, by_size, by_cores)
+
+
 def _nearest_classes(classes: DataFrame, n: int, k: int, size: int, chunk_bytes: int) -> DataFrame:
     """The k + 1 best classes of each, itself among the equals: ``(place, rep, best ARRAY<STRUCT<other, score>>)``."""
-    spark = classes.sparkSession
-    no_others, no_scores = F.array().cast("array<bigint>"), F.array().cast("array<double>")
-    best = classes.select("place", "rep", "unit", no_others.alias("others"), no_scores.alias("scores"))
-    cores = spark.sparkContext.defaultParallelism
-    if best.rdd.getNumPartitions() < cores:
-        best = best.repartition(cores, "place")
-    rows = max(1, chunk_bytes // (8 * max(1, size)))
-    for low in range(0, n, rows):
-        stretch = classes.filter((F.col("place") >= low) & (F.col("place") < low + rows)).select("place", "unit")
-        # At most ``chunk_bytes``, in order of place.
-        members = spark.sparkContext.broadcast(_matrix(stretch.toArrow().sort_by("place").column("unit"), size).T.copy())
-        best = materialise(best.mapInArrow(_improve(members, low, k + 1, size), best.schema))
+    cores = classes.sparkSession.sparkContext.defaultParallelism
+    count = _stretches(n, size, cores, chunk_bytes)
+    rows = max(1, -(-n // count))
+    pack = min(_PACK, rows)
+    numbered = classes.select(F.floor(F.col("place") / rows).cast("int").alias("stretch"), "place", "unit")
+    block = F.floor(F.pmod("place", F.lit(rows)) / pack).cast("int")
+    keyed = numbered.withColumn("block", block).repartition("stretch", "block").sortWithinPartitions("stretch", "block", "place")
+    packed = keyed.mapInArrow(_pack, "stretch int, low long, units binary")
+    # The pair of stretches i <= j is number i + j (j + 1) / 2, so every stretch goes to ``count`` pairs.
+    every = F.sequence(F.lit(0), F.lit(count - 1))
+
+    def pair(other: Column) -> Column:
+        first, last = F.least("stretch", other), F.greatest("stretch", other)
+        number = first + F.floor(last * (last + 1) / 2)
+        return F.struct(number.cast("int").alias("pair"), (F.col("stretch") == last).alias("late"))
+
+    dealt = packed.select("*", F.inline(F.transform(every, pair)))
+    dealt = dealt.repartitionById(count * (count + 1) // 2, "pair").sortWithinPartitions("pair", "late", "low")
+    lists = "place long, others array<bigint>, scores array<double>"
+    found = dealt.mapInArrow(_compare_pairs(k + 1, size), lists)
+    merged = found.repartition("place").sortWithinPartitions("place").mapInArrow(_merge(k + 1), lists)
     pairs = F.arrays_zip(F.col("others").alias("other"), F.col("scores").alias("score"))
-    return best.select("place", "rep", pairs.alias("best"))
+    return classes.select("place", "rep").join(merged.select("place", pairs.alias("best")), "place")
 
 
 def _candidate_lists(nearest: DataFrame, classes: DataFrame, k: int) -> DataFrame:
@@ -127,14 +146,29 @@ def _candidate_lists(nearest: DataFrame, classes: DataFrame, k: int) -> DataFram
     return classes.select("place", "v").join(lists, "place").select("v", short.alias("list"))
 
 
-def _matrix(lists: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
-    """Lists of one length as the rows of a matrix."""
-    whole = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-    return whole.flatten().to_numpy(zero_copy_only=False).reshape(len(whole), width)
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows ``(stretch, place, unit, block)`` of a block as one row of doubles."""
+    held: list[pa.RecordBatch] = []
 
+    def packed() -> pa.RecordBatch:
+        whole = pa.Table.from_batches(held).combine_chunks()
+        units = whole.column("unit").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        columns = [whole.column("stretch")[:1].combine_chunks(), whole.column("place")[:1].combine_chunks()]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([units.tobytes()], pa.binary())], names=["stretch", "low", "units"])
 
-def _lists(matrix: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1], matrix.ravel())
+    for batch in batches:
+        if not len(batch):
+            continue
+        keys = np.stack((batch.column(0).to_numpy(), batch.column(3).to_numpy()))
+        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), len(batch)]
+        for low, high in zip(cuts, cuts[1:]):
+            part = batch.slice(low, high - low)
+            if held and any(held[0].column(i)[0] != part.column(i)[0] for i in (0, 3)):
+                yield packed()
+                held = []
+            held.append(part)
+    if held:
+        yield packed()
 
 
 def _best_rows(scores: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -151,47 +185,204 @@ def _best_rows(scores: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return row[place < n], col[place < n]
 
 
-def _improved(
-    units: np.ndarray, others: np.ndarray, scores: np.ndarray, members: np.ndarray, low: int, n: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """The ``n`` best classes of each of ``units``, of those it holds and the columns of ``members``, best first.
+class _Best:
+    """The ``n`` best partners of every vector of a stretch, best first; equal scores go to the smaller place."""
+
+    def __init__(self, rows: int, n: int):
+        self.n = n
+        self.others = np.full((rows, n), np.iinfo(np.int64).max)
+        self.scores = np.full((rows, n), -np.inf)
+        # Products below this cannot enter the list of a row.
+        self.floors = np.full(rows, -np.inf)
+
+    def add(self, rows: np.ndarray, others: np.ndarray, scores: np.ndarray) -> None:
+        touched, at = np.unique(rows, return_inverse=True)
+        owner = np.concatenate((np.repeat(np.arange(len(touched)), self.n), at))
+        found = np.concatenate((self.others[touched].ravel(), others))
+        values = np.concatenate((self.scores[touched].ravel(), scores))
+        order = np.lexsort((found, -np.round(values, _RANK_DECIMALS), owner))
+        owner = owner[order]
+        kept = order[np.arange(len(owner)) - np.searchsorted(owner, owner) < self.n]
+        self.others[touched], self.scores[touched] = found[kept].reshape(-1, self.n), values[kept].reshape(-1, self.n)
+        self.raise_floors(touched, self.scores[touched, -1])
+
+    def raise_floors(self, rows: np.ndarray | slice, least: np.ndarray) -> None:
+        self.floors[rows] = np.maximum(self.floors[rows], least - _BEYOND)
+
+    def settle(self, own: np.ndarray, others: np.ndarray, low: int) -> None:
+        """Take the scores of the lists once more, as they are returned."""
+        row, place = np.nonzero(self.scores > -np.inf)
+        self.scores[row, place] = _chained(own, row, others, self.others[row, place] - low)
+
+    def lists(self, low: int) -> pa.RecordBatch:
+        real = self.scores > -np.inf
+        offsets = np.concatenate(([0], np.cumsum(real.sum(1)))).astype(np.int32)
+        columns = [pa.ListArray.from_arrays(offsets, values[real]) for values in (self.others, self.scores)]
+        places = pa.array(np.arange(low, low + len(self.scores)))
+        return pa.RecordBatch.from_arrays([places, *columns], names=["place", "others", "scores"])
+
+
+def _set(mask: np.ndarray) -> np.ndarray:
+    """``np.flatnonzero`` for few set places: eight of them are looked at together."""
+    if mask.size % 8:
+        return np.flatnonzero(mask)
+    words = np.flatnonzero(mask.reshape(-1).view(np.uint64))
+    near = (words[:, None] * 8 + np.arange(8)).ravel()
+    return near[mask.reshape(-1)[near]]
+
+
+def _rounding(size: int) -> float:
+    """How far a single-precision product of two unit vectors can be from the true one.
+
+    Components and partial sums are rounded by at most 2**-24 of themselves, size + 2 times on the way of any term, and the
+    sum of the terms' sizes is at most 1. One more covers units that are not quite so long and the double's own rounding.
+    """
+    roundings = (size + 3) * 2.0**-24
+    return roundings / (1 - roundings)
+
+
+def _products(a: np.ndarray, rows: np.ndarray, b: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Double-precision products of pairs of rows, a few megabytes at a time."""
+    step = max(1, (1 << 19) // a.shape[1])
+    parts = [np.einsum("ij,ij->i", a[rows[i : i + step]], b[columns[i : i + step]]) for i in range(0, len(rows), step)]
+    return np.concatenate(parts) if parts else np.empty(0)
+
 
-    Columns come in order of place, so that one must beat the worst of a full list, not equal it.
+def _halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Doubles as sums of two of 26 bits, whose products are exact (Veltkamp)."""
+    scaled = x * 134217729.0
+    high = scaled - (scaled - x)
+    return high, x - high
+
+
+def _chained(a: np.ndarray, rows: np.ndarray, b: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Products as a chain of fused multiply-adds in the order of components: the same on every machine.
+
+    The exact product of two components and its exact sum with what came before are each held in two doubles (Dekker,
+    Knuth), which are rounded to one.
     """
-    for begin in range(0, members.shape[1], _MEMBER_ROWS):
-        products = units @ members[:, begin : begin + _MEMBER_ROWS]
-        if others.shape[1] < n:
-            row, col = _best_rows(np.round(products, _RANK_DECIMALS), n)
-        else:
-            floor = np.round(scores[:, -1], _RANK_DECIMALS) + _BEYOND
-            row, col = np.nonzero(products > floor[:, None])
-            if not len(row):
+    out = np.zeros(len(rows))
+    step = max(1, (1 << 19) // a.shape[1])
+    for i in range(0, len(rows), step):
+        x, y = a[rows[i : i + step]].T.copy(), b[columns[i : i + step]].T.copy()
+        total = out[i : i + step]
+        for p, q in zip(x, y):
+            product = p * q
+            (p_high, p_low), (q_high, q_low) = _halves(p), _halves(q)
+            rest = ((p_high * q_high - product) + p_high * q_low + p_low * q_high) + p_low * q_low
+            added = total + product
+            part = added - total
+            rest += (total - (added - part)) + (product - part)
+            total[:] = added + rest
+    return out
+
+
+def _compare(a: np.ndarray, low_a: int, b: np.ndarray | None, low_b: int, n: int) -> Iterator[tuple[int, _Best]]:
+    """The best of the unit vectors ``a`` among ``b`` and of ``b`` among ``a``; without ``b``, of ``a`` among themselves."""
+    other, low_other = (a, low_a) if b is None else (b, low_b)
+    rounded, other_rounded = a.astype(np.float32), other.astype(np.float32).T.copy()
+    margin = _rounding(a.shape[1])
+    best = _Best(len(a), n)
+    best_other = None if b is None else _Best(len(b), n)
+    for i in range(0, len(a), _ROWS):
+        for j in range(0, len(other), _COLUMNS):
+            products = rounded[i : i + _ROWS] @ other_rounded[:, j : j + _COLUMNS]
+            sides = [(best, slice(i, i + _ROWS), products)]
+            if best_other is not None:
+                sides.append((best_other, slice(j, j + _COLUMNS), products.T))
+            reach = None
+            for side, at, seen in sides:
+                if np.isneginf(side.floors[at][0]) and seen.shape[1] >= n:
+                    # The n-th best so far in single precision, less its error, bounds the n-th best from below.
+                    side.raise_floors(at, np.partition(seen, seen.shape[1] - n, axis=1)[:, seen.shape[1] - n] - margin)
+                # Rounded down, so that single precision compares on the safe side.
+                floors = np.nextafter((side.floors[at] - margin).astype(np.float32), np.float32(-np.inf))
+                over = products >= (floors[:, None] if side is best else floors[None, :])
+                reach = over if reach is None else np.logical_or(reach, over, out=reach)
+            found = _set(reach)
+            if not found.size:
                 continue
-        rows = np.concatenate((np.repeat(np.arange(len(units)), others.shape[1]), row))
-        found = np.concatenate((others.ravel(), low + begin + col))
-        values = np.concatenate((scores.ravel(), products[row, col]))
-        order = np.lexsort((found, -np.round(values, _RANK_DECIMALS), rows))
-        rows = rows[order]
-        kept = order[np.arange(len(rows)) - np.searchsorted(rows, rows) < n]
-        others, scores = found[kept].reshape(len(units), -1), values[kept].reshape(len(units), -1)
-    return others, scores
-
-
-def _improve(members: Broadcast, low: int, n: int, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A pass over the classes that compares them with those from place ``low`` on."""
-
-    def improve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = members.value
-        held = min(n, low)
+            if found.size > _DENSE * products.size + 4 * n * sum(products.shape):
+                keys = np.round(a[i : i + _ROWS] @ other[j : j + _COLUMNS].T, _RANK_DECIMALS)
+                row, col = _best_rows(keys, n)
+                best.add(i + row, low_other + j + col, _products(a, i + row, other, j + col))
+                if best_other is not None:
+                    col, row = _best_rows(keys.T, n)
+                    best_other.add(j + col, low_a + i + row, _products(a, i + row, other, j + col))
+                continue
+            row, col = np.divmod(found, products.shape[1])
+            exact = _products(a, i + row, other, j + col)
+            taken = exact >= best.floors[i + row]
+            best.add(i + row[taken], low_other + j + col[taken], exact[taken])
+            if best_other is not None:
+                taken = exact >= best_other.floors[j + col]
+                best_other.add(j + col[taken], low_a + i + row[taken], exact[taken])
+    best.settle(a, other, low_other)
+    yield low_a, best
+    if best_other is not None:
+        best_other.settle(b, a, low_a)
+        yield low_b, best_other
+
+
+def _compare_pairs(n: int, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Packed rows ``(stretch, low, units, pair, late)``, in order of pair, to the lists of both stretches of each pair."""
+
+    def compared(parts: list[tuple[bool, int, bytes]]) -> Iterator[pa.RecordBatch]:
+        sides = []
+        for late in (False, True):
+            of = [(low, units) for is_late, low, units in parts if is_late == late]
+            if of:
+                units = np.frombuffer(b"".join(u for _, u in of), np.float64).reshape(-1, size)
+                sides.append((units, min(low for low, _ in of)))
+        (a, low_a), (b, low_b) = sides if len(sides) == 2 else (*sides, (None, 0))
+        for low, best in _compare(a, low_a, b, low_b, n):
+            yield best.lists(low)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[bool, int, bytes]] = []
+        current = None
+        for batch in batches:
+            for _, low, units, pair, late in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and pair != current:
+                    yield from compared(held)
+                    held = []
+                current = pair
+                held.append((late, low, units))
+        if held:
+            yield from compared(held)
+
+    return compare
+
+
+def _merge(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows ``(place, others, scores)`` in order of place to one row per place with its ``n`` best."""
+
+    def merged(table: pa.Table) -> pa.RecordBatch:
+        places = table.column(0).to_numpy()
+        others, scores = (table.column(i).combine_chunks() for i in (1, 2))
+        owner = np.repeat(places, np.diff(others.offsets.to_numpy()))
+        found, values = others.flatten().to_numpy(), scores.flatten().to_numpy()
+        order = np.lexsort((found, -np.round(values, _RANK_DECIMALS), owner))
+        owner = owner[order]
+        kept = np.arange(len(owner)) - np.searchsorted(owner, owner) < n
+        owner, order = owner[kept], order[kept]
+        distinct, starts = np.unique(owner, return_index=True)
+        offsets = np.append(starts, len(owner)).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(offsets, values_[order]) for values_ in (found, values)]
+        return pa.RecordBatch.from_arrays([pa.array(distinct), *lists], names=["place", "others", "scores"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []
         for batch in batches:
             if not len(batch):
                 continue
-            units, others, scores = (_matrix(batch.column(i), w) for i, w in ((2, size), (3, held), (4, held)))
-            parts = [
-                _improved(units[q], others[q], scores[q], columns, low, n)
-                for q in (slice(i, i + _QUERY_ROWS) for i in range(0, len(units), _QUERY_ROWS))
-            ]
-            merged = [_lists(np.concatenate(part)) for part in zip(*parts, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *merged], names=batch.schema.names)
-
-    return improve
+            # The last place of a batch may go on in the next one.
+            cut = int(np.searchsorted(batch.column(0).to_numpy(), batch.column(0)[-1].as_py()))
+            if cut:
+                yield merged(pa.Table.from_batches([*rest, batch.slice(0, cut)]))
+                rest = []
+            rest.append(batch.slice(cut))
+        if rest:
+            yield merged(pa.Table.from_batches(rest))
+
+    return merge

@@ -53,8 +53,8 @@ class Params:
     stages: tuple[str, ...] = ("tokenization", "sliding_window", "embedding", "semantic_similarity")
     final_stage: str = "statistics_collated"
 
-    # Bytes of vectors that the similarity search ships to every task at a time.
-    chunk_bytes: int = 64 << 20
+    # Bytes of vectors in a stretch; a task of the similarity search compares two of them.
+    chunk_bytes: int = 16 << 20
 
     @property
     def look_ahead(self) -> int:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
@@ -30,6 +31,18 @@ FIXED_MERGES: subwords.Merges = [
     ("o", "u"), ("d", "e"), ("a", "t"), ("e", "d"), ("i", "on"), ("l", "e"), ("c", "h"), ("u", "n"),
 ]
 
+
+
+def _wide_merges() -> subwords.Merges:
+    """1,076 merges by rule: every two letters, then a consonant, a vowel and one of four endings."""
+    letters, vowels = string.ascii_lowercase, "aeiou"
+    pairs = [(a, b) for a in letters for b in letters]
+    syllables = [c + v for c in letters if c not in vowels + "y" for v in vowels]
+    return pairs + [(syllable, end) for end in "nrst" for syllable in syllables]
+
+
+WIDE_MERGES = _wide_merges()
+
 WORD_PARAMS = Params(tokeniser="word", embedding_size=DIMS, top_k=TOP_K)
 SUBWORD_PARAMS = Params(tokeniser="subword", embedding_size=DIMS, top_k=TOP_K)
 
@@ -100,6 +113,12 @@ def subword_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return subwords.subword_frequency(_docs(spark, sf), FIXED_MERGES)
 
 
+@query
+def subword_frequency_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """As `subword_frequency`, over a vocabulary of more than a thousand pieces."""
+    return subwords.subword_frequency(_docs(spark, sf), WIDE_MERGES)
+
+
 @query
 def subword_occurrence_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Token ids encoded document by document, then counted: must equal the vocabulary-first count."""

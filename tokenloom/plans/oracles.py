@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tokenloom.operators.subwords import vocabulary
-from tokenloom.plans.catalogue import DIMS, FIXED_MERGES, SUBWORD_PARAMS, TOP_K, WINDOW
+from tokenloom.operators.subwords import Merges, vocabulary
+from tokenloom.plans.catalogue import DIMS, FIXED_MERGES, SUBWORD_PARAMS, TOP_K, WIDE_MERGES, WINDOW
 
 #: Length of the vectors of the table `embeddings`, which SQL has to know.
 VECTOR_SIZE = 64
@@ -69,7 +69,11 @@ def _folded(text: str) -> str:
     return f"regexp_extract_all({text}, '<([a-z0-9]+)>', 1)"
 
 
-_IDS = "ids(token, word) AS (VALUES " + ", ".join(f"({i}, '{p}')" for i, p in enumerate(vocabulary(FIXED_MERGES))) + ")"
+def _ids(name: str, merges: Merges) -> str:
+    return f"{name}(token, word) AS (VALUES " + ", ".join(f"({i}, '{p}')" for i, p in enumerate(vocabulary(merges))) + ")"
+
+
+_IDS = _ids("ids", FIXED_MERGES)
 _DOC_PIECES = rf"""marks AS (
   SELECT doc_id, regexp_replace(array_to_string(regexp_extract_all({_STRIPPED}, '[a-z]+|[0-9]{{1,3}}'), ' '),
     '([a-z0-9])', '<\1>', 'g') AS m FROM documents),
@@ -156,6 +160,16 @@ ORACLES: dict[str, str] = {
         rf"""pieces AS (SELECT unnest({_folded(r"regexp_replace(piece, '(.)', '<\1>', 'g')")}) AS word, frequency FROM prefreq)""",
         select="SELECT word, token, sum(frequency)::bigint AS frequency FROM pieces JOIN ids USING (word) GROUP BY word, token",
     ),
+    "subword_frequency_wide": _with(
+        _PRETOKENS,
+        _PRE_FREQ,
+        _ids("wide", WIDE_MERGES),
+        "steps AS (SELECT [" + ", ".join(f"'<{left}><{right}>|<{left}{right}>'" for left, right in WIDE_MERGES) + "] AS all_steps)",
+        r"""merged AS (SELECT frequency, list_reduce(list_prepend(regexp_replace(piece, '(.)', '<\1>', 'g'), all_steps),
+          lambda text, step: replace(text, split_part(step, '|', 1), split_part(step, '|', 2))) AS m FROM prefreq, steps)""",
+        "pieces AS (SELECT unnest(regexp_extract_all(m, '<([a-z0-9]+)>', 1)) AS word, frequency FROM merged)",
+        select="SELECT word, token, sum(frequency)::bigint AS frequency FROM pieces JOIN wide USING (word) GROUP BY word, token",
+    ),
     "subword_occurrence_counts": _with(
         _IDS, _DOC_PIECES, select="SELECT token, count(*)::bigint AS frequency FROM words GROUP BY token"
     ),

@@ -1,6 +1,7 @@
-import math
 import os
+from collections import Counter
 
+import numpy as np
 import pytest
 import yaml
 from conftest import SMALL
@@ -64,10 +65,6 @@ def test_results_do_not_depend_on_partitioning(spark):
 def test_every_combination_runs(spark, docs, order, tokeniser, embedding):
     params = Params(order=order, tokeniser=tokeniser, embedding=embedding, epochs=2, embedding_size=8)
     frame = docs(*TEXT.split("\n"))
-    if embedding == "autoencoder" and tokeniser == "word" and order == "corpus":
-        with pytest.raises(ValueError, match="token ids"):
-            chain.run(spark, frame, params, merges=FIXED_MERGES)
-        return
     results = chain.run(spark, frame, params, merges=FIXED_MERGES)
     vocabulary = {str(r.token) for r in results["tokenization"].collect()}
     collated = results["statistics_collated"].collect()
@@ -90,36 +87,97 @@ def test_unknown_names_raise(spark, docs):
 def training(spark, parts):
     ids = [[(i * 7 + j * j) % 11 for j in range(9)] for i in range(40)]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(ids)], "doc_id long, tokens array<int>").repartition(parts)
-    found = windows.context_windows(windows.corpus_segments(rows, F.col("tokens")), 4)
-    return windows.training_windows(found, 4)
-
-
-def test_autoencoder_learns_and_repeats(spark):
-    first, table = autoencoder.train(training(spark, 1), hidden=12, epochs=15, learning_rate=0.02)
-    second, _ = autoencoder.train(training(spark, 6), hidden=12, epochs=15, learning_rate=0.02)
-    assert first.losses[-1] < first.losses[0] * 0.5
-    assert first.losses == pytest.approx(second.losses, rel=1e-9)
-    hidden = {r.token: r.vector for r in autoencoder.hidden_vectors(first, table).collect()}
-    weights = {r.token: r.vector for r in autoencoder.weight_vectors(first, table).collect()}
-    assert set(hidden) == set(weights) == set(range(11))
-    assert all(len(v) == 12 and all(math.isfinite(x) for x in v) for v in [*hidden.values(), *weights.values()])
-
-    # Against the same means taken window by window.
-    import numpy as np
-
-    rows = table.collect()
-    total, count = {}, {}
-    for r in rows:
-        h = first.hidden(np.array([r.tokens], float) / first.max_id)[0] * r.weight
-        for t in r.tokens:
-            total[t] = total.get(t, 0) + h
-            count[t] = count.get(t, 0) + r.weight
-    assert all(np.allclose(hidden[t], total[t] / count[t]) for t in hidden)
+    return windows.corpus_segments(rows, F.col("tokens"))
+
+
+def test_training_windows_of_segments(spark):
+    """Cut in blocks and whole, the examples are those of the windows one by one."""
+    rows = spark.createDataFrame([(1, list(range(30))), (2, [7, 7, 8, 9, 9]), (3, [1, 2]), (4, [3, 1, 4, 1, 5, 9])], "doc_id long, tokens array<int>")
+    for block in (5, 4096):
+        segments = windows.corpus_segments(rows, F.col("tokens"), block=block, ahead=5)
+        want = {tuple(r.tokens): r.weight for r in windows.training_windows(windows.context_windows(segments, 4), 4).collect()}
+        parts = segments.orderBy("seq", "start").collect()
+        got = autoencoder.examples(
+            np.concatenate([p.tokens for p in parts]), np.array([len(p.tokens) for p in parts]),
+            np.array([p.owned for p in parts]), np.array([p.start for p in parts]), 4,
+        )
+        assert Counter(map(tuple, got.tolist())) == want
+
+
+def plain_fit(fitted, hidden, epochs, rate, batch, rounds):
+    """The same training as a loop over the written units: weights, losses, and the read-outs token by token."""
+    rng = np.random.default_rng(42)
+    limit = np.sqrt(6.0 / (4 + hidden))
+    model = autoencoder.Autoencoder(
+        rng.uniform(-limit, limit, (4, hidden)), np.zeros(hidden), rng.uniform(-limit, limit, (hidden, 4)), np.zeros(4), 10.0
+    )
+    flat = model.parameters()
+    adam = [flat, np.zeros_like(flat), np.zeros_like(flat), 0]
+    cells = [
+        (r["round"], r.unit, autoencoder.examples(np.frombuffer(r.tokens, np.int32), *(np.frombuffer(x, np.int64) for x in (r.sizes, r.owned, r.starts)), 4))
+        for r in fitted.units.collect()
+    ]
+    losses, columns = [], {}
+    for i in [i for _ in range(epochs) for i in range(rounds)]:
+        ends, weights, loss, steps = [], [], 0.0, 0
+        for _, _, ids in sorted((c for c in cells if c[0] == i), key=lambda c: c[1]):
+            weight, first, second, step = adam
+            for at in range(0, len(ids), batch):
+                part = ids[at : at + batch]
+                model.with_parameters(weight)
+                gradient, error = model.gradient(part / 10.0, np.full(len(part), 1 / len(part)))
+                step += 1
+                first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
+                weight = weight - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+                loss += error * len(part)
+                model.with_parameters(weight)
+                for row in part.tolist():
+                    for p, token in enumerate(row):
+                        columns.setdefault(token, []).append(model.encode[:, p].copy())
+            ends.append((weight, first, second))
+            weights.append(len(ids))
+            steps = max(steps, step)
+        if ends:
+            adam = [sum(e[j] * n for e, n in zip(ends, weights)) / sum(weights) for j in range(3)] + [steps]
+            losses.append(loss / sum(weights))
+    model.with_parameters(adam[0])
+    everything = np.concatenate([ids for _, _, ids in cells])
+    active = model.hidden(everything / 10.0)
+    hidden_means = {t: np.concatenate([active[everything[:, p] == t] for p in range(4)]).mean(0) for t in range(11)}
+    return model, losses, hidden_means, {t: np.mean(c, axis=0) for t, c in columns.items()}
+
+
+@pytest.mark.parametrize("epochs,batch,steps,rounds", [(1, 256, 64, 4), (2, 16, 3, 2), (3, 7, 5, 1)])
+def test_online_training_equals_a_plain_loop(spark, epochs, batch, steps, rounds):
+    options = dict(hidden=12, epochs=epochs, learning_rate=0.01, batch=batch, local_steps=steps, rounds=rounds)
+    first = autoencoder.fit(training(spark, 1), 4, **options)
+    second = autoencoder.fit(training(spark, 6), 4, **options)
+    assert (first.model.parameters() == second.model.parameters()).all()
+    model, losses, hidden, columns = plain_fit(first, 12, epochs, 0.01, batch, rounds)
+    assert np.allclose(first.model.parameters(), model.parameters(), atol=1e-9) and np.allclose(first.model.losses, losses)
+    for got, want, size in ((autoencoder.hidden_vectors(first), hidden, 12), (autoencoder.weight_vectors(first), columns, 4)):
+        rows = {r.token: r.vector for r in got.collect()}
+        assert set(rows) == set(want) == set(range(11))
+        assert all(len(v) == size and np.allclose(v, want[t], atol=1e-5) for t, v in rows.items())
+
+
+def test_many_steps_learn_more_than_one(spark):
+    """After one epoch of local steps the loss is below that of one step per round over everything."""
+    def after(**options):
+        fitted = autoencoder.fit(training(spark, 3), 4, hidden=12, learning_rate=0.01, epochs=1, **options)
+        ids = np.concatenate(list(autoencoder._unpacked(iter(fitted.units.toArrow().to_batches()), 4)))
+        return fitted.model.gradient(ids / 10.0, np.full(len(ids), 1 / len(ids)))[1]
+
+    assert after(batch=16, local_steps=8, rounds=4) < 0.5 * after(batch=1 << 20, local_steps=1, rounds=1)
+
+
+def test_training_without_windows_raises(spark, docs):
+    rows = spark.createDataFrame([(1, [1, 2])], "doc_id long, tokens array<int>")
+    with pytest.raises(ValueError, match="no windows"):
+        autoencoder.fit(windows.corpus_segments(rows, F.col("tokens")), 4)
 
 
 def test_autoencoder_gradient_is_the_slope_of_its_loss():
-    import numpy as np
-
     rng = np.random.default_rng(0)
     model = autoencoder.Autoencoder(rng.normal(size=(4, 5)), rng.normal(size=5), rng.normal(size=(5, 4)), rng.normal(size=4), 1.0)
     x, weight = rng.uniform(size=(7, 4)), rng.uniform(size=7)

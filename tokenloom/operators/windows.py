@@ -115,6 +115,17 @@ def training_windows(windows: DataFrame, window_size: int) -> DataFrame:
     return flat.groupBy("tokens").agg(F.sum("n").alias("weight"))
 
 
+def identified(segments: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Segments of words as segments of their ids, from ``vocabulary(word, token)``, which holds all words.
+
+    Groups are segments, so none has more tokens than a block and its look-ahead.
+    """
+    placed = segments.select("seq", "start", "owned", F.posexplode("tokens").alias("i", "word"))
+    named = placed.join(vocabulary, "word").groupBy("seq", "start", "owned")
+    listed = named.agg(F.array_sort(F.collect_list(F.struct("i", F.col("token").cast("int").alias("token")))).alias("items"))
+    return listed.select("seq", "start", "owned", F.col("items.token").alias("tokens"))
+
+
 def forward_pairs(segments: DataFrame, distance: int) -> DataFrame:
     """Each token with each of the next ``distance`` tokens: one row ``(a, b)`` per occurrence. No shuffle."""
     n = F.size("tokens")

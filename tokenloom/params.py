@@ -31,7 +31,10 @@ class Params:
     output_activation: str = "IDENTITY"
     loss: str = "MSE"
     learning_rate: float = 1e-3
-    epochs: int = 8
+    epochs: int = 1
+    batch: int = 256  # windows of one training step
+    local_steps: int = 64  # steps that a part of the corpus takes between two averages
+    rounds: int = 4  # averages of an epoch
     readout: str = "hidden"  # or "weights"
     seed: int = 42
 

@@ -58,10 +58,15 @@ def read_windows(spark: SparkSession, source: str, params: Params = Params()) ->
     )
 
 
-def window_segments(found: DataFrame) -> DataFrame:
-    """Windows as segments: each owns its first token, and the last of a sequence all of them."""
+def window_segments(found: DataFrame, more: bool = False) -> DataFrame:
+    """Windows as segments: each owns its first token, and the last of a sequence all of them.
+
+    With ``more``, windows that another one follows show a token beyond their label, which tells them from the last.
+    """
     tokens = F.concat("input", F.array("label"))
     owned = F.when(F.col("is_last"), F.size(tokens)).otherwise(F.lit(1))
+    if more:
+        tokens = F.when(F.col("is_last"), tokens).otherwise(F.concat(tokens, F.array("label")))
     return found.select("seq", F.col("pos").alias("start"), owned.alias("owned"), tokens.alias("tokens"))
 
 
@@ -69,7 +74,7 @@ def embed_files(spark: SparkSession, source: str, target: str, params: Params =
     """Window and label lines to ``token \\t [vector]``."""
     found = read_windows(spark, source, params)
     if params.embedding == "autoencoder":
-        vectors = chain.autoencoder_vectors(found, params)
+        vectors = chain.autoencoder_vectors(window_segments(found, more=True), params)
     elif params.embedding == "cooccurrence":
         segments = window_segments(found)
         vectors = embeddings.context_vectors(segments, params.embedding_window, params.embedding_size)

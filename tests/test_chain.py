@@ -193,6 +193,14 @@ def test_autoencoder_gradient_is_the_slope_of_its_loss():
         assert gradient[i] == pytest.approx((losses[0] - losses[1]) / 2e-6, abs=1e-6)
 
 
+def test_stage_counts_are_observed_while_writing(spark, docs, tmp_path):
+    for order in ("corpus", "listing"):
+        counted = {}
+        frame = docs("a b c d e f a", "b b c")
+        results = chain.run(spark, frame, Params(tokeniser="word", order=order, output_partitions=2), str(tmp_path / order), counts_of=counted)
+        assert counted == {r.stage: r.n for r in chain.stage_counts(results).collect()}
+
+
 def test_stage_counts(spark, docs):
     results = chain.run(spark, docs("a b c d e f"), Params(tokeniser="word"))
     got = {r.stage: r.n for r in chain.stage_counts(results).collect()}

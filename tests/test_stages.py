@@ -2,13 +2,15 @@ import glob
 
 import pytest
 import yaml
+from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tokenloom.functions import text as tx
 from tokenloom.operators import embeddings, windows
 from tokenloom.params import Params
 from tokenloom.plans import chain, stages
-from tokenloom.sources import sinks
+from tokenloom.sources import lines, sinks
 
 TEXT = "the thin thing and then the other thing\nin the end the sand\n\none two three four five six seven\n" * 2
 
@@ -64,3 +66,63 @@ def test_similarity_and_collation_of_lines(spark, tmp_path):
     assert got["1"] == {"word": "word", "intToken": "1", "frequency": 10, "semanticallySimilarTokens": ["2", "3"]}
     assert got["3"]["word"] == "N/A" and got["3"]["frequency"] == 0
     assert got["4"]["semanticallySimilarTokens"] == "N/A"
+
+
+def read(path):
+    return sorted(line for name in glob.glob(f"{path}/part-*") for line in open(name).read().splitlines())
+
+
+def test_a_failing_write_leaves_the_old_lines_and_nothing_beside_them(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    numbers = spark.range(50).select(F.col("id").cast("string").alias("value"))
+    sinks.write_lines(numbers, path, partitions=2)
+    broken = spark.range(50).select(F.when(F.col("id") == 31, F.raise_error(F.lit("no"))).otherwise(F.lit("x")).cast("string").alias("value"))
+    for options in ({}, {"partitions": 3, "order": "value"}):
+        with pytest.raises(PySparkException):
+            sinks.write_lines(broken, path, **options)
+        assert read(path) == sorted(map(str, range(50)))
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    sinks.write_lines(numbers.limit(0), path)
+    assert read(path) == [] and [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_resuming_after_a_failing_stage(spark, tmp_path, monkeypatch):
+    source, out = tmp_path / "in.txt", str(tmp_path / "out")
+    source.write_text(TEXT)
+    params = Params(tokeniser="word", order="listing", embedding_size=8)
+    stages.run_files(spark, str(source), out, params)
+    before, calls, broken = read(f"{out}/statistics_collated"), [], [True]
+
+    def watched(stage):
+        original = stages.FILE_STAGES[stage]
+
+        def run(*args):
+            calls.append(stage)
+            if stage == "embedding" and broken[0]:
+                raise RuntimeError("lost")
+            original(*args)
+
+        return run
+
+    for stage in params.stages:
+        monkeypatch.setitem(stages.FILE_STAGES, stage, watched(stage))
+    changed = Params(tokeniser="word", order="listing", embedding_size=12)
+    with pytest.raises(RuntimeError):
+        stages.run_files(spark, str(source), out, changed)
+    assert read(f"{out}/statistics_collated") == before
+    broken[0] = False
+    calls.clear()
+    stages.run_files(spark, str(source), out, changed, resume=True)
+    assert calls == ["embedding", "semantic_similarity"]
+    calls.clear()
+    stages.run_files(spark, str(source), out, changed, resume=True)
+    assert calls == []
+    stages.run_files(spark, str(source), out, params, resume=True)
+    assert calls == list(params.stages)
+
+
+def test_rejected_lines_are_counted_as_they_are_parsed(spark):
+    raw = spark.createDataFrame([("a\t1\t5",), ("b\t2",), ("c\t3\tx",), ("d\t4\t6\t",)], "value string")
+    seen = Observation()
+    parsed = lines.parse_frequencies(lines.observed(raw, "frequencies", seen))
+    assert len(parsed.collect()) == 2 and seen.get == {"n_ok": 2, "n_bad": 2}

@@ -55,9 +55,14 @@ def common_size(df: DataFrame, vector: str) -> int:
 def mean_vectors(df: DataFrame, key: str, vector: str, out: str = "vector") -> DataFrame:
     """Element-wise mean of the vectors of each key.
 
-    The averages of all dimensions are computed side by side, so rows are reduced map-side and never exploded.
+    The averages of all dimensions are computed side by side, so rows are reduced map-side and never exploded. The length
+    is that of one row, read now; a null vector, a null component or another length raises when the means are computed.
     """
-    size = common_size(df, vector)
-    v = as_doubles(F.col(vector))
-    sums = df.groupBy(key).agg(*[F.avg(F.get(v, F.lit(i))).alias(f"m{i}") for i in range(size)])
-    return sums.select(key, F.array(*[F.col(f"m{i}") for i in range(size)]).alias(out))
+    one = df.select(F.size(vector).alias("n")).first()
+    size = max(one.n or 0, 0) if one else 0
+    v = F.col(vector)
+    bad = v.isNull() | (F.size(v) != size) | F.exists(v, lambda x: x.isNull())
+    checked = F.when(bad, F.raise_error(F.lit("Vectors must have the same length and no nulls")).cast("array<double>")).otherwise(as_doubles(v))
+    rows = df.select(F.col(key), checked.alias("_v"))
+    sums = rows.groupBy(key).agg(*[F.avg(F.get("_v", F.lit(i))).alias(f"m{i}") for i in range(size)], F.count("_v").alias("_n"))
+    return sums.select(key, F.array(*[F.col(f"m{i}") for i in range(size)]).cast("array<double>").alias(out))

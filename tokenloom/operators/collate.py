@@ -55,9 +55,18 @@ def collate(frequencies: DataFrame, neighbours: DataFrame, params: Params = Para
     )
 
 
+# Characters that YAML does not print and JSON leaves as they are.
+_UNPRINTED = [chr(c) for c in (*range(0x7F, 0xA0), 0x2028, 0x2029, 0xFEFF)]
+
+
 def _quoted(value: Column) -> Column:
-    escaped = F.regexp_replace(value, r'(["\\])', r"\\$1")
-    return F.concat(F.lit('"'), escaped, F.lit('"'))
+    """A double-quoted scalar that YAML and JSON both read back: quotes, backslashes and control characters escaped."""
+    record = F.to_json(F.struct(value.alias("v")))
+    text = F.substring(record, F.lit(6), F.length(record) - 6)
+    escaped = text
+    for c in _UNPRINTED:
+        escaped = F.replace(escaped, F.lit(c), F.lit(f"\\u{ord(c):04x}"))
+    return F.when(text.rlike("[" + "".join(_UNPRINTED) + "]"), escaped).otherwise(text)
 
 
 def report_yaml(collated: DataFrame, params: Params = Params()) -> DataFrame:

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -374,9 +375,10 @@ def report_yaml(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stage_counts(spark: SparkSession, sf: str) -> DataFrame:
-    this = _word_run(spark, sf)
-    results = {stage: this.result(stage) for stage in (*WORD_PARAMS.stages, WORD_PARAMS.final_stage)}
-    return chain.stage_counts(results)
+    """Rows of every stage of a run over words, observed while they are written."""
+    counted: dict[str, int] = {}
+    chain.run(spark, _docs(spark, sf), WORD_PARAMS, f"{shared_folder(spark)}/files/{uuid.uuid4().hex}", counts_of=counted)
+    return spark.createDataFrame(list(counted.items()), "stage string, n long")
 
 
 # Line formats
@@ -545,6 +547,32 @@ def files_overwritten(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def files_after_failure(spark: SparkSession, sf: str) -> DataFrame:
+    """A second write of the tokens fails in one of its rows; what the first one left is whole."""
+    path, _ = _tokenised_files(spark, sf)
+    broken = F.when(F.col("idx") == 0, F.raise_error(F.lit("broken row"))).otherwise(F.col("word"))
+    try:
+        sinks.write_lines(_vocabulary(spark, sf).select(broken.cast("string").alias("value")), path)
+    except PySparkException:
+        return lines.parse_frequencies(lines.read_lines(spark, path))
+    raise AssertionError("the broken row was written")
+
+
+@query
+def files_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """Splits and lines of one file of all texts, for several sizes of a split."""
+    path = f"{shared_folder(spark)}/files/{uuid.uuid4().hex}"
+    sinks.write_lines(_table(spark, sf, "documents").select(F.col("text").alias("value")), path, partitions=1)
+    found = []
+    for split_mb in (1, 2, 4):
+        read = lines.read_lines(spark, path, replace(WORD_PARAMS, split_mb=split_mb))
+        starts = read.select(F.col("_metadata.file_block_start").alias("start"))
+        # Frames of one plan share one setting, so each is read by itself: one row of numbers.
+        found.append((split_mb, *starts.agg(F.countDistinct("start"), F.count("*")).first()))
+    return spark.createDataFrame(found, "split_mb int, n_splits long, n_lines long")
+
+
 @query
 def files_report(spark: SparkSession, sf: str) -> DataFrame:
     """A shorter list of stages run file by file; the report's records are read back whole."""

@@ -398,6 +398,10 @@ ORACLES |= {
         *_VOCAB_PARTS,
         select="SELECT 3::bigint AS n_files, count(*)::bigint AS n_lines, min(word) AS first, max(word) AS last FROM vocab",
     ),
+    "files_after_failure": _with(*_VOCAB_PARTS, select="SELECT word, idx::varchar AS token, frequency FROM vocab"),
+    "files_splits": """SELECT split_mb::int AS split_mb, (sum(strlen(text) + 1) + split_mb * 1048576 - 1)::bigint // (split_mb * 1048576) AS n_splits,
+      sum(length(text) - length(replace(text, chr(10), '')) + 1)::bigint AS n_lines
+      FROM documents, (SELECT unnest([1, 2, 4]) AS split_mb) GROUP BY split_mb""",
     "files_report": _with(
         *_VOCAB_PARTS,
         select="""SELECT 'word: "' || word || '"' || chr(10) || 'intToken: "' || idx::varchar || '"' || chr(10)

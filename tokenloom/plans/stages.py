@@ -5,6 +5,7 @@ Each reads what the stage before it wrote, replaces its target, and leaves malfo
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -112,13 +113,33 @@ FILE_STAGES: dict[str, Callable[..., None]] = {
 }
 
 
-def run_files(spark: SparkSession, source: str, output_base: str, params: Params = Params()) -> str:
-    """Run the configured stages file by file, then the final merge; returns the report's path."""
-    current = source
-    for stage in params.stages:
-        target = f"{output_base}/{stage}"
-        FILE_STAGES[stage](spark, current, target, params)
-        current = target
-    report = f"{output_base}/{params.final_stage}"
-    collate_files(spark, f"{output_base}/{params.stages[0]}", current, report, params)
-    return report
+def _committed(output_base: str, stage: str) -> str:
+    return f"{output_base}/_committed/{stage}"
+
+
+def run_files(spark: SparkSession, source: str, output_base: str, params: Params = Params(), resume: bool = False) -> str:
+    """Run the configured stages file by file, then the final merge; returns the report's path.
+
+    A stage that fails raises; its output and those after it stay as they were. Stages that end are noted in
+    ``<output_base>/_committed``, with a digest of what they were run with. With ``resume``, leading stages noted with
+    the same digest are not run again. Sources must not have changed since; their content is not looked at.
+    """
+    current, fresh = source, not resume
+    for i, stage in enumerate((*params.stages, params.final_stage)):
+        target, note = f"{output_base}/{stage}", _committed(output_base, stage)
+        digest = hashlib.sha256(repr((source, params, params.stages[: i + 1], stage)).encode()).hexdigest()
+        if not fresh and sinks.exists(spark, target) and sinks.exists(spark, note) and spark.read.text(note).first().value == digest:
+            current = target
+            continue
+        if not fresh or i == 0:
+            # From here on nothing that was noted before holds.
+            for later in (*params.stages[i:], params.final_stage):
+                sinks._remove(spark, _committed(output_base, later))
+        fresh = True
+        if stage == params.final_stage:
+            collate_files(spark, f"{output_base}/{params.stages[0]}", current, target, params)
+        else:
+            FILE_STAGES[stage](spark, current, target, params)
+            current = target
+        sinks.write_lines(spark.createDataFrame([(digest,)], "value string").coalesce(1), note)
+    return f"{output_base}/{params.final_stage}"

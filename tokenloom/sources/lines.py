@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.params import Params
@@ -56,6 +56,12 @@ def well_formed(line: Column, kind: str, params: Params = Params()) -> Column:
     return rules[kind]()
 
 
+def observed(lines: DataFrame, kind: str, observation: Observation, params: Params = Params()) -> DataFrame:
+    """The same lines; whatever reads them also leaves ``n_ok`` and ``n_bad``, by the rule of the format, in ``observation``."""
+    good = well_formed(F.col("value"), kind, params)
+    return lines.observe(observation, F.count_if(good).alias("n_ok"), F.count_if(~good).alias("n_bad"))
+
+
 def malformed(lines: DataFrame, kind: str, params: Params = Params()) -> DataFrame:
     return lines.filter(~well_formed(F.col("value"), kind, params))
 

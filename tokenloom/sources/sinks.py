@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.params import Params
@@ -50,15 +52,65 @@ def render_similar(df: DataFrame, params: Params = Params(), token: str = "token
     return lists.select(F.concat_ws(params.field_delimiter, F.col(token).cast("string"), joined).alias("value"))
 
 
-def write_lines(df: DataFrame, path: str, partitions: int | None = None, order: str | None = None) -> None:
-    """Write ``value`` as text, replacing what is there.
+def write_lines(
+    df: DataFrame, path: str, partitions: int | None = None, order: str | None = None, observation: Observation | None = None
+) -> None:
+    """Write ``value`` as text, replacing what is there once all of it is written.
 
     ``order`` sorts the whole output by that column over any number of files; ``partitions`` fixes the file count,
-    1 giving a single totally ordered file as a last step.
+    1 giving a single totally ordered file as a last step. ``observation`` gets the number of rows, ``n``. Lines are written
+    beside the target, which readers pass over, and take its name at the end: if writing fails, the target is as it was.
     """
     if order is not None:
         by_range = df.repartitionByRange(partitions, order) if partitions else df.repartitionByRange(order)
         df = by_range.sortWithinPartitions(order)
     elif partitions:
         df = df.repartition(partitions)
-    df.select("value").write.mode("overwrite").text(path)
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("n"))
+    beside = _sibling(path, "new")
+    try:
+        df.select("value").write.text(beside)
+    except BaseException:
+        _remove(df.sparkSession, beside)
+        raise
+    _replace(df.sparkSession, beside, path)
+
+
+def _sibling(path: str, kind: str) -> str:
+    """A new hidden name in the folder of ``path``."""
+    parent, slash, name = path.rstrip("/").rpartition("/")
+    return f"{parent}{slash}.{name}-{kind}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it wants it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def _replace(spark: SparkSession, new: str, path: str) -> None:
+    """Give the folder ``new`` the name ``path``; what had it before goes last, and comes back if that fails."""
+    old = _sibling(path, "old")
+    files, target = _file_system(spark, path)
+    _, source = _file_system(spark, new)
+    _, aside = _file_system(spark, old)
+    there = files.exists(target)
+    if there and not files.rename(target, aside):
+        raise OSError(f"cannot move {path} aside")
+    if not files.rename(source, target):
+        if there:
+            files.rename(aside, target)
+        raise OSError(f"cannot move {new} to {path}")
+    if there:
+        files.delete(aside, True)

@@ -15,14 +15,14 @@ def frames(spark, frequencies, similar):
 def test_all_three_cases(spark):
     f, s = frames(
         spark,
-        [("word", "12345", 10), ("alone", "7", 3), ("", "9", 1)],
-        [("12345", ["similar1", "similar2"]), ("8", ["12345"])],
+        [("harbour", "88", 4), ("alone", "7", 3), ("", "9", 1)],
+        [("88", ["elm", "ash"]), ("8", ["88"])],
     )
     got = {r.token: (r.word, r.frequency, r.similar) for r in collate.collate(f, s).collect()}
     assert got == {
-        "12345": ("word", 10, ["similar1", "similar2"]),
+        "88": ("harbour", 4, ["elm", "ash"]),
         "7": ("alone", 3, None),
-        "8": ("N/A", 0, ["12345"]),
+        "8": ("N/A", 0, ["88"]),
         "9": ("N/A", 1, None),
     }
 
@@ -43,6 +43,17 @@ def test_reports_parse_back(spark):
     assert as_json["1"] == parsed["1"]
 
 
+def test_control_characters_are_escaped(spark):
+    odd = "".join(map(chr, (*range(0x20), 0x7F, 0x85, 0x9F, 0xA0, 0x2028, 0x2029, 0xFEFF))) + 'a"\\é𝄞'
+    f, s = frames(spark, [(odd, "1", 2), ("plain", odd, 1)], [("1", [odd, "x"])])
+    collated = collate.collate(f, s)
+    texts = {r.token: r.text for r in collate.report_yaml(collated).collect()}
+    assert all(ch.isprintable() or ch in "\n\u00a0" for text in texts.values() for ch in text)
+    assert yaml.safe_load(texts["1"]) == {"word": odd, "intToken": "1", "frequency": 2, "semanticallySimilarTokens": [odd, "x"]}
+    assert yaml.safe_load(texts[odd])["intToken"] == odd
+    assert json.loads(collate.report_json(collated).filter("token = '1'").first().text)["word"] == odd
+
+
 def test_tagged_union(spark):
     f, s = frames(spark, [("w", "1", 2)], [("1", ["2", "3"])])
     got = sorted(map(tuple, collate.tagged_union(f, s).collect()))

@@ -13,13 +13,13 @@ def raw(spark):
 
 
 def test_tokens_need_enough_fields(raw):
-    rows = lines.parse_tokens(raw("word\t12345\t10", "insufficient", "a\t1\t2\t3", "x\t\t", "\t7")).collect()
-    assert [r.token for r in rows] == ["12345", "1", "7"]
+    rows = lines.parse_tokens(raw("harbour\t88\t4", "lonely", "a\t1\t2\t3", "x\t\t", "\t7")).collect()
+    assert [r.token for r in rows] == ["88", "1", "7"]
 
 
 def test_frequencies_need_three_fields(raw):
-    got = lines.parse_frequencies(raw("word\t12345\t10", "a\t1\t2\t3", "a\t1", "a\t1\tmany", "b\t2\t3\t\t")).collect()
-    assert list(map(tuple, got)) == [("word", "12345", 10), ("b", "2", 3)]
+    got = lines.parse_frequencies(raw("harbour\t88\t4", "a\t1\t2\t3", "a\t1", "a\t1\tmany", "b\t2\t3\t\t")).collect()
+    assert list(map(tuple, got)) == [("harbour", "88", 4), ("b", "2", 3)]
 
 
 def test_trailing_empty_fields_do_not_count(raw):
@@ -28,30 +28,30 @@ def test_trailing_empty_fields_do_not_count(raw):
 
 
 def test_windows(raw):
-    got = lines.parse_windows(raw("input_0\t1,2,3", "label_0\t4", "malformedInput", "input_1\t2,3,4", "label_1\t5"))
-    assert list(map(tuple, got.collect()))[0] == ("input", "0", [1, 2, 3])
+    got = lines.parse_windows(raw("input_3\t9,0,9", "label_3\t6", "no window", "input_12\t40,41,7", "label_12\t8"))
+    assert list(map(tuple, got.collect()))[0] == ("input", "3", [9, 0, 9])
     paired = sorted(map(tuple, lines.pair_windows(got).collect()))
-    assert paired == [("0", [1, 2, 3], 4), ("1", [2, 3, 4], 5)]
+    assert paired == [("12", [40, 41, 7], 8), ("3", [9, 0, 9], 6)]
     with pytest.raises(Exception):
         lines.parse_windows(raw("input_0\t1,x,3")).collect()
 
 
 def test_vectors(raw, spark):
-    got = lines.parse_vectors(raw("token1\t[0.1, 0.2, 0.3]", "malformedInput")).select(
+    got = lines.parse_vectors(raw("oak\t[-1.5, 0.25, 3.0E-4]", "no vector")).select(
         "token", F.col("vector").cast("array<string>")
     )
-    assert list(map(tuple, got.collect())) == [("token1", ["0.1", "0.2", "0.3"])]
-    packed = raw("token1|[0.1, 0.2, 0.3]", "token2|[0.2, 0.3, 0.4]", "token3\t[1]")
-    assert [r.token for r in lines.parse_packed_vectors(packed).collect()] == ["token1", "token2"]
-    line = raw("x").select(lines.pack_vector(F.lit("token1"), F.lit("[0.1, 0.2, 0.3]")))
-    assert line.first()[0] == "token1|[0.1, 0.2, 0.3]"
+    assert list(map(tuple, got.collect())) == [("oak", ["-1.5", "0.25", "3.0E-4"])]
+    packed = raw("oak|[-1.5, 0.25]", "elm|[7, 0.125]", "ash\t[1]")
+    assert [r.token for r in lines.parse_packed_vectors(packed).collect()] == ["oak", "elm"]
+    line = raw("x").select(lines.pack_vector(F.lit("oak"), F.lit("[-1.5, 0.25]")))
+    assert line.first()[0] == "oak|[-1.5, 0.25]"
     with pytest.raises(Exception):
         lines.parse_vectors(raw("t\t[1.0, oops]")).collect()
 
 
 def test_similar(raw):
-    got = lines.parse_similar(raw("12345\tsimilar1(0.9),similar2(0.8)", "7\t12(0.9), oops")).collect()
-    assert {r.token: r.similar for r in got} == {"12345": ["similar1", "similar2"], "7": ["12", "N/A"]}
+    got = lines.parse_similar(raw("88\telm(0.7512),ash(-0.25)", "7\t12(0.5), oops")).collect()
+    assert {r.token: r.similar for r in got} == {"88": ["elm", "ash"], "7": ["12", "N/A"]}
 
 
 def test_strict_raises(raw):

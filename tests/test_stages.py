@@ -58,7 +58,7 @@ def test_windows_read_back_with_their_ends(spark, docs, tmp_path):
 
 def test_similarity_and_collation_of_lines(spark, tmp_path):
     vectors, counts = tmp_path / "v.txt", tmp_path / "c.txt"
-    vectors.write_text("1\t[0.1, 0.2, 0.3]\n2\t[0.2, 0.3, 0.4]\n3\t[0.3, 0.4, 0.5]\n3\t[0.9, 0.9, 0.9]\nmalformedInput\n")
+    vectors.write_text("1\t[4, 0, 1]\n2\t[3, 1, 1]\n3\t[-1, 2, 5]\n3\t[6, 6, 0]\nno vector\n")
     counts.write_text("word\t1\t10\nother\t4\t2\nbad line\n")
     stages.similarity_files(spark, str(vectors), str(tmp_path / "s"))
     stages.collate_files(spark, str(counts), str(tmp_path / "s"), str(tmp_path / "r"), Params(output_partitions=1))

@@ -17,7 +17,7 @@ def cosine(spark, a, b):
 
 
 def test_cosine(spark):
-    assert cosine(spark, [1.0, 2.0, 3.0], [2.0, 3.0, 4.0]) == pytest.approx(0.9925833, abs=1e-7)
+    assert cosine(spark, [2.0, -1.0, 4.0], [1.0, 3.0, 0.5]) == pytest.approx(1 / math.sqrt(21 * 10.25), abs=1e-12)
     assert math.isnan(cosine(spark, [0.0, 0.0], [1.0, 2.0]))
     with pytest.raises(Exception, match="same length"):
         cosine(spark, [1.0, 2.0], [1.0, 2.0, 3.0])
@@ -161,7 +161,7 @@ def test_top_similar_with_copies_zeros_and_scaled_copies(spark, chunk_bytes):
 def test_top_similar_edge_cases(spark):
     check_top(spark, [(1, [1.0, 0.0])], "long")
     check_top(spark, [(1, [0.0, 0.0]), (2, [0.0, 0.0])], "long")
-    check_top(spark, [(3, [0.1, 0.2, 0.3]), (1, [0.2, 0.3, 0.4]), (2, [0.3, 0.4, 0.5])], "long")
+    check_top(spark, [(3, [5.0, -1.0, 0.5]), (1, [0.25, 4.0, 4.0]), (2, [-2.0, 1.0, 7.0])], "long")
     uneven = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "id long, v array<double>")
     with pytest.raises(ValueError, match="same length"):
         similarity.top_similar(uneven, "id", "v", 5)

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import hashlib
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tokenloom.operators.windows import forward_pairs
 
 # One md5 digest block gives 13 hex digits = 52 sign bits that fit a BIGINT.
 _BITS = 52
-# Packed signs: eight dimensions lie in the bytes of one BIGINT, four in each half.
-_LANES, _HALF = 8, 4
-# The greatest sum of signs that a byte can hold without touching the sign of the BIGINT.
-_MOST_IN_LANE = 127
+# Tokens whose neighbours are added up at a time, and the greatest distance at which a byte holds the sums of signs.
+_SLICE_TOKENS = 1 << 19
+_MOST_IN_BYTE = 63
 
 
 def cooccurrence_counts(segments: DataFrame, distance: int, vocabulary: DataFrame | None = None) -> DataFrame:
@@ -76,64 +80,72 @@ def random_index(cooccurrence: DataFrame, size: int, key: str = "word") -> DataF
     return _signed_sums(signed, key, F.col("n"), size)
 
 
-def _packed(signs: Column, size: int) -> Column:
-    """The sign bits of a struct of :func:`_signs` as bytes of longs: a struct ``(token, l0, l1, …)``."""
+def _sign_rows(tokens: list, size: int) -> np.ndarray:
+    """The signs of :func:`_signs` as rows of +1 and -1."""
+    blocks = range(-(-size // _BITS))
+    bits = [[int(hashlib.md5(f"{t}:{b}".encode()).hexdigest()[:13], 16) for b in blocks] for t in tokens]
+    masks = np.array(bits, np.int64).reshape(len(tokens), len(blocks))
+    dims = np.arange(size)
+    return ((masks[:, dims // _BITS] >> (dims % _BITS) & 1) * 2 - 1).astype(np.int8)
 
-    def half(first: int) -> Column:
-        if first >= size:
-            return F.lit(0).cast("long")
-        bits = F.shiftright(signs[f"s{first // _BITS}"], first % _BITS).bitwiseAND(F.lit((1 << min(_HALF, size - first)) - 1))
-        # Copies of the four bits 7 places apart put bit i at place 8 i; what falls between is masked out.
-        return (bits * F.lit(0x204081).cast("long")).bitwiseAND(F.lit(0x01010101))
 
-    longs = [half(d).bitwiseOR(F.shiftleft(half(d + _HALF), 32)).alias(f"l{d // _LANES}") for d in range(0, size, _LANES)]
-    return F.struct(signs["token"].alias("token"), *longs)
+def _neighbour_sums(owned: np.ndarray, tokens: pa.ListArray, distance: int, size: int) -> tuple[pa.Array, np.ndarray]:
+    """Per distinct token of some segments that has neighbours, the sum of their signs over all its places.
 
-
-def _neighbour_sums(segments: DataFrame, distance: int, size: int) -> DataFrame:
-    """One row per place of a segment: ``(word, near, l0, l1, …)``, the packed signs of its neighbours added up.
-
-    A pair of neighbours belongs to the segment that owns the earlier one, so a place in the look-ahead has the
-    neighbours before it that are owned, and an owned one all those after it.
+    A pair of neighbours belongs to the segment that owns the earlier one. Sums at one place fit a byte.
     """
-    signed = F.transform("tokens", lambda t: F.struct(t.alias("token"), *_signs(t, size)))
-    rows = segments.select("owned", F.transform(signed, lambda s: _packed(s, size)).alias("signs"))
-    reach = F.least(F.size("signs"), F.col("owned") + distance)
-    rows = rows.select("owned", "signs", F.explode(F.when(reach > 0, F.sequence(F.lit(0), reach - 1))).alias("i"))
-    i, owned, beyond = F.col("i"), F.col("owned"), F.lit(-1)
-    after = [F.get("signs", F.when(i < owned, i + d).otherwise(beyond)).alias(f"a{d}") for d in range(1, distance + 1)]
-    before = [F.get("signs", F.when(i - d < owned, i - d).otherwise(beyond)).alias(f"b{d}") for d in range(1, distance + 1)]
-    near = rows.select(F.get("signs", i)["token"].alias("word"), *after, *before)
-    names = [f"{side}{d}" for side in "ab" for d in range(1, distance + 1)]
-
-    def total(each: list[Column]) -> Column:
-        return reduce(lambda a, b: a + b, each)
-
-    count = total([F.col(n).isNotNull().cast("int") for n in names]).cast("long").alias("near")
-    lanes = range(-(-size // _LANES))
-    zero = F.lit(0).cast("long")
-    sums = [total([F.coalesce(F.col(f"{n}.l{k}"), zero) for n in names]).alias(f"l{k}") for k in lanes]
-    return near.select("word", count, *sums).filter("near > 0")
+    coded = tokens.flatten().dictionary_encode()
+    ids = coded.indices.to_numpy(zero_copy_only=False)
+    sizes = np.diff(tokens.offsets.to_numpy())
+    segment = np.repeat(np.arange(len(sizes)), sizes)
+    own = np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes) < np.repeat(owned, sizes)
+    signs = _sign_rows(coded.dictionary.to_pylist(), size)[ids]
+    near, count = np.zeros_like(signs), np.zeros(len(ids), np.int64)
+    for d in range(1, distance + 1):
+        if len(ids) <= d:
+            break
+        pair = (segment[:-d] == segment[d:]) & own[:-d]
+        near[:-d] += signs[d:] * pair[:, None]
+        near[d:] += signs[:-d] * pair[:, None]
+        count[:-d] += pair
+        count[d:] += pair
+    places = np.flatnonzero(count)
+    places = places[np.argsort(ids[places], kind="stable")]
+    found, starts = np.unique(ids[places], return_index=True)
+    sums = np.add.reduceat(near[places], starts, axis=0, dtype=np.int64) if len(places) else np.zeros((0, size), np.int64)
+    return coded.dictionary.take(pa.array(found)), sums
 
 
 def context_vectors(segments: DataFrame, distance: int, size: int, vocabulary: DataFrame | None = None) -> DataFrame:
     """The vectors of :func:`random_index` straight from the text: ``(word, vector ARRAY<BIGINT>)``.
 
-    Vectors are sums over occurrences, so pairs are neither formed nor counted: signs are made in the row and those of
-    an occurrence's neighbours added there, eight dimensions to a long. The only shuffle carries one row of sums per token and
-    task. ``vocabulary`` (column ``word``) restricts tokens and contexts, by way of counted pairs.
+    Vectors are sums over occurrences, so pairs are neither formed nor counted: in each batch of segments the signs of
+    every place's neighbours are added up as bytes, then by token, in slices of bounded size. The only shuffle carries one row of
+    sums per token and slice, summed up map-side first. ``vocabulary`` (column ``word``) restricts tokens and contexts, by
+    way of counted pairs; so does a distance beyond what a byte holds.
     """
-    if vocabulary is not None or 2 * distance > _MOST_IN_LANE:
+    if vocabulary is not None or distance > _MOST_IN_BYTE:
         known = None if vocabulary is None else vocabulary.select("word")
         return random_index(cooccurrence_counts(segments, distance, known), size)
 
-    def positive(d: int) -> Column:
-        lane = F.shiftright(F.col(f"l{d // _LANES}"), 8 * (d % _LANES)).bitwiseAND(F.lit(255))
-        return F.sum(lane).alias(f"p{d}")
-
-    rows = _neighbour_sums(segments, distance, size)
-    sums = rows.groupBy("word").agg(F.sum("near").alias("total"), *[positive(d) for d in range(size)])
-    return sums.select("word", F.array(*[F.col(f"p{d}") * 2 - F.col("total") for d in range(size)]).alias("vector"))
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["word", *[f"v{d}" for d in range(size)]]
+        for batch in batches:
+            ends = np.cumsum(pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
+            at = 0
+            while at < len(batch):
+                so_far = ends[at - 1] if at else 0
+                to = max(at + 1, int(np.searchsorted(ends, so_far + _SLICE_TOKENS, "right")))
+                part = batch.slice(at, to - at)
+                words, sums = _neighbour_sums(part.column(0).to_numpy(), part.column(1), distance, size)
+                yield pa.RecordBatch.from_arrays([words, *(pa.array(column) for column in sums.T.copy())], names=names)
+                at = to
+
+    kind = segments.schema["tokens"].dataType.elementType
+    fields = [T.StructField("word", kind), *(T.StructField(f"v{d}", T.LongType()) for d in range(size))]
+    rows = segments.filter(F.col("tokens").isNotNull()).select("owned", "tokens").mapInArrow(add, T.StructType(fields))
+    sums = rows.groupBy("word").agg(*[F.sum(f"v{d}").alias(f"v{d}") for d in range(size)])
+    return sums.select("word", F.array(*[F.col(f"v{d}") for d in range(size)]).alias("vector"))
 
 
 def dedup_vectors(tagged: DataFrame, token: str = "token", role: str = "role", vector: str = "vector") -> DataFrame:

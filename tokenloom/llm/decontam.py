@@ -288,7 +288,11 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = WI
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs`` in which no test phrase occurs, with their columns."""
+    """The rows of ``docs`` in which no test phrase occurs, with their columns.
+
+    A null, empty or wordless text holds no phrase and stays; of repeated rows all stay or go. Without documents or test
+    phrases the table is returned as it is, and columns of any further name are untouched.
+    """
     name = fresh(docs, "found")
     return find_contamination(docs, benchmark, window, name).filter(F.size(f"{name}.spans") == 0).drop(name)
 

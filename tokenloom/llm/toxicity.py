@@ -189,6 +189,14 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, folds: int = 3, held_fol
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose score is below the threshold, with their columns."""
+    """The rows of ``docs`` whose score is below the threshold, with their columns.
+
+    Where the labels are missing, all alike or too few to fit and calibrate trees, nothing tells rows apart and all are
+    kept. Null and empty texts are scored as empty, repeated rows each for itself with equal scores, so all of them stay
+    or go; a score at the threshold goes. An empty table stays empty, and columns of any further name are untouched.
+    """
+    model = train(docs, labels)
+    if model.trees is None:
+        return docs
     name = fresh(docs, "toxicity")
-    return score(docs, train(docs, labels), name).filter(F.col(name) < threshold).drop(name)
+    return score(docs, model, name).filter(F.col(name) < threshold).drop(name)

@@ -14,14 +14,17 @@ MAX_EPOCHS = 2.0
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the threshold of the classifier that the labels train; all of them if labels cannot train one."""
     return toxicity.drop_toxic(docs, common.table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints, the one with the smallest id."""
     return simhash.drop_near_duplicates(docs)
 
 
 def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without an occurrence of a benchmark window; null, empty and wordless texts have none."""
     return decontam.drop_contaminated(docs, common.table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
@@ -31,6 +34,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its size, shard and slot, in columns named afresh where documents has such names."""
     names = [common.fresh(docs, c) for c in ("size", "shard", "slot")]
     return sharding.shard_by_bytes(docs, size=names[0], shard=names[1], slot=names[2])
 

@@ -109,3 +109,24 @@ def test_groups_do_not_change_a_score(monkeypatch):
     monkeypatch.setattr(lm, "GROUP", 64)
     assert lm.log10_chances(texts, model) == pytest.approx(exact)
     assert exact[2] < 0
+
+
+def test_weights_and_map_are_learnt_from_the_training_texts(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    texts = [r.text.encode() for r in rows]
+    code = lm.huffman(lm.pair_counts(texts[:150]))
+    symbols = lm._symbol_counts(spark.createDataFrame([(t.decode(),) for t in texts[:150]], "text string"))
+    counted = lm._slot_counts(symbols, code)
+    # The counts are those of the decisions one by one.
+    plain = Counter()
+    bases = np.cumsum([0, *lm.table_sizes()])
+    for group in lm.pieces(texts[:150]):
+        slots, bits, _ = lm.laid_out(group, code)
+        for base, slot in zip(bases, slots):
+            plain.update(zip((slot.astype(int) + int(base)).tolist(), bits.tolist()))
+    got = {(r.slot, bit): n for r in counted.collect() for bit, n in enumerate((r.n0, r.n1)) if n}
+    assert got == plain
+    model = lm._model(code, counted, symbols)
+    even = lm.Model(code, model.tables)
+    assert not np.allclose(model.start.weights, even.start.weights) and not np.allclose(model.start.chances, even.start.chances)
+    assert sum(lm.log10_chances(texts[150:], model)) > sum(lm.log10_chances(texts[150:], even))

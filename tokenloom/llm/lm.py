@@ -3,8 +3,9 @@
 A text is a row of bytes and an end mark. Each symbol is a path in the Huffman tree of what followed the byte before it
 in training, so that it is a few binary decisions. For each of several orders the preceding bytes and the tree node are hashed to a slot that holds
 how often the decision was 0 and 1 in the training texts. The slots' log odds are mixed by weights that a gate, the
-confidence of the slots, selects; the mixed chance is refined by an adaptive map. While a text is read, the weights and
-the map learn from every stretch after it was scored. The sum of the decisions' logarithms is the score.
+confidence of the slots, selects; the mixed chance is refined by an adaptive map. Both are learnt from all training texts, each
+decision being left out of the counts that predict it. While a text is read, the weights and the map go on learning
+from every stretch after it was scored. The sum of the decisions' logarithms is the score.
 
 The unigram score beside it looks up the most frequent words, bounded in number, where the text lies, and joins the
 counts of all other words.
@@ -15,7 +16,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +40,12 @@ GROUP = 1 << 16
 #: Decisions between two updates of the weights.
 STRETCH = 4096
 _FLUSH = 1 << 18
-#: Decisions of a task after which its counts, which have 32 bits, are handed on.
-_TALLY = 1 << 31
+#: Symbols of a task that are sorted and counted at once.
+_SORTED = 1 << 22
 #: Bytes of text whose words are looked up at once.
 _PART = 1 << 22
+#: Steps of Newton's method from equal weights.
+_ROUNDS = 5
 _CLASSES = 4
 _GATES = _CLASSES**N_CONTEXTS
 _SCALE = 1024.0
@@ -103,8 +106,8 @@ def table_sizes() -> list[int]:
     return [1 << 16, *[1 << SLOT_BITS] * (N_CONTEXTS - 1)]
 
 
-def contexts(raw: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
-    """Hashes of the contexts before each place: the last byte, the last few, and the word so far (of ``_PAD`` bytes at most)."""
+def _few_and_word(raw: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The last few bytes before each place as one number, and a hash of the word so far (of ``_PAD`` bytes at most)."""
     back = [raw[place - i].astype(np.uint32) for i in range(1, LONG + 1)]
     few = back[0] | back[1] << np.uint32(8) | back[2] << np.uint32(16)
     # A word's hash is a difference of prefix sums, moved back to the start of the word.
@@ -114,7 +117,13 @@ def contexts(raw: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
     start = np.maximum.accumulate(np.where(np.concatenate(([True], raw <= 32)), at, 0))
     start = np.maximum(start, at - _PAD)
     word = (sums[place] - sums[start[place]]) * _DOWN[start[place]]
-    return [back[0], _spread(few.astype(np.uint64)), _spread(word)]
+    return few.astype(np.uint64), _spread(word).astype(np.uint64)
+
+
+def contexts(raw: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the contexts before each place: the last byte, the last few, and the word so far."""
+    few, word = _few_and_word(raw, place)
+    return [(few & np.uint64(255)).astype(np.uint32), _spread(few), word.astype(np.uint32)]
 
 
 def _spread(x: np.ndarray) -> np.ndarray:
@@ -166,22 +175,27 @@ def pieces(texts: list[bytes]) -> Iterator[list[tuple[int, bytes, bytes, bool]]]
         yield group
 
 
-def laid_out(group: list[tuple[int, bytes, bytes, bool]], code: Code) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Slots and bits of all decisions of a group, and where the decisions of its parts end."""
+def _placed(group: list[tuple[int, bytes, bytes, bool]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of a group, the places of all its symbols, which of these are ends of texts, and the symbols of each part."""
     zeros = bytes(_PAD)
     joined = b"".join((zeros + before)[-_PAD:] + part + b"\0" for _, before, part, _ in group)
-    raw = np.frombuffer(joined, np.uint8)
     sizes = np.array([len(part) for _, _, part, _ in group])
     starts = np.concatenate(([0], np.cumsum(sizes + _PAD + 1)[:-1])) + _PAD
     has_end = np.array([ends for *_, ends in group])
     count = sizes + has_end
-    first = np.concatenate(([0], np.cumsum(count)[:-1]))
+    first = np.cumsum(count) - count
     place = np.repeat(starts - first, count) + np.arange(int(count.sum()))
+    return np.frombuffer(joined, np.uint8), place, (first + sizes)[has_end], count
+
+
+def laid_out(group: list[tuple[int, bytes, bytes, bool]], code: Code) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Slots and bits of all decisions of a group, and where the decisions of its parts end."""
+    raw, place, end, count = _placed(group)
     symbols = raw[place].astype(np.int64)
-    symbols[(first + sizes)[has_end]] = END
+    symbols[end] = END
     slots, bits, length = decisions(symbols, contexts(raw, place), code)
     total = np.concatenate(([0], np.cumsum(length)))
-    return slots, bits, total[first + count]
+    return slots, bits, total[np.cumsum(count)]
 
 
 # Training
@@ -241,26 +255,59 @@ def _training_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def _slot_counts(docs: DataFrame, code: Code) -> DataFrame:
-    """``(slot, n0, n1)`` over the tables of all contexts, one after the other."""
-    sizes = table_sizes()
+def _symbol_counts(docs: DataFrame) -> DataFrame:
+    """``(few, word, symbol, n)``: how often each symbol follows the last few bytes and the hash of the word so far."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = [np.zeros(2 * n, np.uint32) for n in sizes]
+        keys: list[np.ndarray] = []
+        ends: list[np.ndarray] = []
         held = 0
         for group in (g for batch in batches for g in pieces(utf8(batch.column(0)))):
-            slots, bits, _ = laid_out(group, code)
-            held += len(bits)
-            if held > _TALLY:
-                yield from rows(counts)
-                counts, held = [np.zeros_like(c) for c in counts], len(bits)
-            counts[0] += np.bincount((slots[0] << np.uint32(1)) | bits, minlength=len(counts[0])).astype(np.uint32)
-            for table, slot in zip(counts[1:], slots[1:], strict=True):
-                # The same few decisions come again and again: sorted in cache, each touches the large table once.
-                found = (slot << np.uint32(1)) | bits
-                found.sort()
-                first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))[: len(found)]
-                table[found[first]] += np.diff(first, append=len(found)).astype(np.uint32)
+            raw, place, end, _ = _placed(group)
+            few, word = _few_and_word(raw, place)
+            key = few << np.uint64(40) | raw[place].astype(np.uint64) << np.uint64(32) | word
+            keys.append(np.delete(key, end))
+            ends.append(few[end] << np.uint64(40) | word[end])
+            held += len(key)
+            if held >= _SORTED:
+                yield from rows(keys, ends)
+                keys, ends, held = [], [], 0
+        if held:
+            yield from rows(keys, ends)
+
+    def rows(keys: list[np.ndarray], ends: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for parts, is_end in ((keys, False), (ends, True)):
+            found = np.concatenate(parts)
+            found.sort()
+            first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))[: len(found)]
+            n = np.diff(first, append=len(found))
+            found = found[first]
+            symbol = np.full(len(found), END) if is_end else (found >> np.uint64(32) & np.uint64(255)).astype(np.int64)
+            columns = [found >> np.uint64(40), found & np.uint64(0xFFFFFFFF), symbol, n]
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["few", "word", "symbol", "n"])
+
+    counted = docs.mapInArrow(count, "few long, word long, symbol long, n long")
+    return counted.groupBy("few", "word", "symbol").agg(F.sum("n").alias("n"))
+
+
+def _counted_decisions(batches: Iterator[pa.RecordBatch], code: Code) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+    """Slots and bits of the decisions of rows ``(few, word, symbol, n)``, and how often each was taken."""
+    for batch in batches:
+        few, word, symbol, n = (c.to_numpy() for c in batch.columns)
+        hashes = [(few & 255).astype(np.uint32), _spread(few.astype(np.uint64)), word.astype(np.uint32)]
+        slots, bits, length = decisions(symbol, hashes, code)
+        yield slots, bits, np.repeat(n, length)
+
+
+def _slot_counts(symbols: DataFrame, code: Code) -> DataFrame:
+    """``(slot, n0, n1)`` over the tables of all contexts, one after the other."""
+    sizes = table_sizes()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = [np.zeros(2 * n, np.int64) for n in sizes]
+        for slots, bits, n in _counted_decisions(batches, code):
+            for table, slot in zip(counts, slots, strict=True):
+                np.add.at(table, slot.astype(np.int64) << 1 | bits, n)
         yield from rows(counts)
 
     def rows(counts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -268,65 +315,123 @@ def _slot_counts(docs: DataFrame, code: Code) -> DataFrame:
         for n, table in zip(sizes, counts, strict=True):
             pairs = table.reshape(n, 2)
             used = np.flatnonzero(pairs.any(1))
-            columns = [pa.array((used + base).astype(np.int32)), *(pa.array(pairs[used, b].astype(np.int64)) for b in (0, 1))]
+            columns = [pa.array((used + base).astype(np.int32)), *(pa.array(pairs[used, b]) for b in (0, 1))]
             yield pa.RecordBatch.from_arrays(columns, names=["slot", "n0", "n1"])
             base += n
 
-    found = docs.mapInArrow(count, "slot int, n0 long, n1 long")
+    found = symbols.mapInArrow(count, "slot int, n0 long, n1 long")
     return found.groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
+@dataclass
+class Start:
+    """What is known before a text is read: per context and gate the weight, and per bucket of the map the chance of a 1."""
+
+    weights: np.ndarray = field(default_factory=lambda: np.full((N_CONTEXTS, _GATES), 1 / N_CONTEXTS, np.float32))
+    chances: np.ndarray = field(default_factory=lambda: _CENTRES.copy())
+
+
 @dataclass
 class Model:
     """Per context the slots' log odds as small whole numbers, the low two bits telling how sure they are."""
 
     code: Code
     tables: list[np.ndarray]
+    start: Start = field(default_factory=Start)
+
+
+def _log_odds(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    """Counts as log odds and how sure these are."""
+    odds = np.log((n1 + 0.4) / (n0 + 0.4))
+    sure = np.searchsorted([1, 4, 32], n0 + n1, "right")
+    return (np.round(np.clip(odds, -7.9, 7.9) * _SCALE).astype(np.int16) & ~np.int16(3)) | sure.astype(np.int16)
+
 
+def _gated(packed: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The log odds of each context, and the gate."""
+    gate = np.zeros(len(packed[0]), np.int16)
+    odds = []
+    for k, values in enumerate(packed):
+        gate |= (values & np.int16(3)) << np.int16(2 * k)
+        odds.append(values.astype(np.float32))
+        odds[-1] *= np.float32(1 / _SCALE)
+    return odds, gate.astype(np.intp)
 
-def _model(code: Code, counted: DataFrame) -> Model:
+
+def _model(code: Code, counted: DataFrame, symbols: DataFrame) -> Model:
     # At most one row per slot, however large the corpus.
     rows = counted.toArrow()
     slot, n0, n1 = (rows.column(i).to_numpy() for i in range(3))
-    total = n0 + n1
-    odds = np.log((n1 + 0.4) / (n0 + 0.4))
-    sure = np.searchsorted([1, 4, 32], total, "right")
-    packed = (np.round(np.clip(odds, -7.9, 7.9) * _SCALE).astype(np.int16) & ~np.int16(3)) | sure.astype(np.int16)
-    tables, base = [], 0
     whole = np.zeros(sum(table_sizes()), np.int16)
-    whole[slot] = packed
-    for n in table_sizes():
-        tables.append(whole[base : base + n])
-        base += n
-    return Model(code, tables)
+    whole[slot] = _log_odds(n0, n1)
+    # The same without one decision that was 0, and one that was 1.
+    without = np.zeros((len(whole), 2), np.int16)
+    for bit in (0, 1):
+        without[slot, bit] = _log_odds(np.maximum(n0 - (1 - bit), 0), np.maximum(n1 - bit, 0))
+    cuts = np.cumsum(table_sizes())[:-1]
+    return Model(code, np.split(whole, cuts), _learnt(symbols, code, np.split(without, cuts)))
+
+
+def _learnt(symbols: DataFrame, code: Code, without: list[np.ndarray]) -> Start:
+    """Weights that make the training texts likeliest, by Newton's method per gate from equal ones, and the map under them.
+
+    A pass sums up slopes and curvatures of every decision, left out of its own counts; the driver sees some hundred sums.
+    """
+    start = Start()
+    upper = [(k, m) for k in range(N_CONTEXTS) for m in range(k, N_CONTEXTS)]
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slopes = np.zeros((N_CONTEXTS + len(upper), _GATES))
+        seen = np.zeros(2 * _BUCKETS)
+        for slots, bits, n in _counted_decisions(batches, code):
+            odds, gate = _gated([table[slot, bits] for table, slot in zip(without, slots, strict=True)])
+            z = sum(w.take(gate) * r for w, r in zip(start.weights.astype(float), odds, strict=True))
+            p = 0.5 + 0.5 * np.tanh(0.5 * z)
+            error, curve = n * (bits - p), n * p * (1 - p)
+            terms = [error * r for r in odds] + [curve * odds[k] * odds[m] for k, m in upper]
+            slopes += [np.bincount(gate, term, _GATES) for term in terms]
+            seen += np.bincount(2 * _bucket(z) + bits, n, 2 * _BUCKETS)
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate((slopes.ravel(), seen)).tolist()])], names=["sums"])
+
+    for _ in range(_ROUNDS):
+        found = sorted(r.sums for r in symbols.mapInArrow(sums, "sums array<double>").collect())
+        if not found:
+            break
+        total = np.sum(found, axis=0)
+        slopes, seen = total[: -2 * _BUCKETS].reshape(-1, _GATES), total[-2 * _BUCKETS :].reshape(_BUCKETS, 2)
+        # The map has the weight of a Reader's own start.
+        start.chances = (seen[:, 1] + 64 * _CENTRES) / (seen.sum(1) + 64)
+        moved = start.weights.astype(float)
+        for gate in range(_GATES):
+            curve = np.zeros((N_CONTEXTS, N_CONTEXTS))
+            for (k, m), value in zip(upper, slopes[N_CONTEXTS:, gate], strict=True):
+                curve[k, m] = curve[m, k] = value
+            # One more decision's worth for equal weights, which also stand where a gate was never seen.
+            pull = slopes[:N_CONTEXTS, gate] + (1 / N_CONTEXTS - moved[:, gate])
+            moved[:, gate] += np.clip(np.linalg.solve(curve + np.eye(N_CONTEXTS), pull), -1, 1)
+        # Rounded, so that the order in which tasks are summed up does not show.
+        start.weights = (np.round(moved * 4096) / 4096).astype(np.float32)
+    return start
 
 
 # Scoring
 
 
-def _first_weights() -> np.ndarray:
-    """Per gate and context the weight before anything is learned: later contexts lead where they are sure."""
-    out = np.zeros((N_CONTEXTS, _GATES), np.float32)
-    trust = np.array([0.0, 0.35, 0.6, 0.8])
-    for gate in range(_GATES):
-        left = 1.0
-        for k in reversed(range(N_CONTEXTS)):
-            own = trust[(gate >> (2 * k)) & 3]
-            out[k, gate] = left * own
-            left *= 1 - own
-    return out
+def _bucket(z: np.ndarray) -> np.ndarray:
+    """The bucket of the map that mixed log odds fall into."""
+    return np.clip(2 * z + (_BUCKETS // 2 + 0.5), 0, _BUCKETS - 1).astype(np.intp)
 
 
-_WEIGHTS = _first_weights()
 _CENTRES = 1 / (1 + np.exp(-(np.arange(_BUCKETS) - _BUCKETS // 2) / 2.0))
+_EVEN = Start()
 
 
 class Reader:
     """The state that learns while one text is read."""
 
-    def __init__(self) -> None:
-        self.weights = _WEIGHTS.copy()
-        self.ones = _CENTRES * 64
+    def __init__(self, start: Start = _EVEN) -> None:
+        self.weights = start.weights.copy()
+        self.ones = start.chances * 64
         self.seen = np.full(_BUCKETS, 64.0)
         self.log = 0.0
 
@@ -375,17 +480,11 @@ def log10_chances(texts: list[bytes], model: Model) -> list[float]:
     done = [0.0] * len(texts)
     for group in pieces(texts):
         slots, bits, ends = laid_out(group, model.code)
-        odds, gate = [], np.zeros(len(bits), np.int16)
-        for k, (table, slot) in enumerate(zip(model.tables, slots, strict=True)):
-            packed = table.take(slot, mode="clip")
-            gate |= (packed & np.int16(3)) << np.int16(2 * k)
-            odds.append(packed.astype(np.float32))
-            odds[-1] *= np.float32(1 / _SCALE)
-        gate = gate.astype(np.intp)
+        odds, gate = _gated([table.take(slot, mode="clip") for table, slot in zip(model.tables, slots, strict=True)])
         bits_ = bits.astype(np.float32)
         begin = 0
         for (i, _, _, last), end in zip(group, ends.tolist(), strict=True):
-            reader = readers.pop(i, None) or Reader()
+            reader = readers.pop(i, None) or Reader(model.start)
             reader.read([o[begin:end] for o in odds], gate[begin:end], bits_[begin:end])
             if last:
                 done[i] = reader.log / math.log(10)
@@ -433,7 +532,8 @@ def scores(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
     total, distinct = words.agg(F.sum("n"), F.count("*")).first()
     total, distinct = (total or 0) + n_texts, distinct + (n_texts > 0)
     code = huffman(symbols)
-    model = _model(code, _slot_counts(training, code))
+    counts = materialise(_symbol_counts(training))
+    model = _model(code, _slot_counts(counts, code), counts)
     # Terms are small where a word is most of the corpus, so they are summed as such and not as a difference of sums.
     size = total + distinct + 1
     head = {w: math.log10((n + 1) / size) for w, n in _head(words).items()}

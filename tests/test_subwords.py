@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
@@ -161,3 +162,14 @@ def test_pairs_of_a_symbol_with_itself_are_trained_one_at_a_time(spark):
     for words in cases:
         frame = spark.createDataFrame(list(words.items()), "piece string, frequency long")
         assert subwords.merges_of_pieces(frame, 6) == plain_training(words, 6)[0]
+
+
+def test_long_batches_are_laid_out_in_runs(monkeypatch):
+    """A batch of any size comes back in runs of a bounded number of pre-tokens, with the same tokens."""
+    batch = pa.array([["the", "then"], None, [], ["other"] * 7, ["in"], ["the", "rest"]], pa.list_(pa.string()))
+    merges = [("t", "h"), ("th", "e")]
+    whole = [x for run in subwords._laid_out(merges, pieces=True)(iter([batch])) for x in run.to_pylist()]
+    assert whole[0] == ["the", "the", "n"] and whole[1:3] == [[], []] and len(whole) == 6
+    monkeypatch.setattr(subwords, "_UNITS", 3)
+    runs = [run.to_pylist() for run in subwords._laid_out(merges, pieces=True)(iter([batch]))]
+    assert len(runs) > 2 and [x for run in runs for x in run] == whole

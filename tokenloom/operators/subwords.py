@@ -30,6 +30,9 @@ _FIRST_MERGED = 0x110000
 # Merges that a pass of the training tries, and merges after which the split pre-tokens are written anew.
 _TRIED = 32
 _REWRITTEN = 256
+# Pre-tokens of a batch of documents that are laid out at a time, and those whose tokens a task remembers.
+_UNITS = 1 << 17
+_REMEMBERED = 1 << 16
 
 
 def vocabulary(merges: Merges) -> list[str]:
@@ -128,8 +131,8 @@ def encode_pieces(piece: Column, merges: Merges) -> Column:
 def _laid_out(merges: Merges, pieces: bool) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
     """Arrays of pre-tokens to arrays of token ids, or of the pieces themselves.
 
-    Each batch is dictionary-encoded, so a distinct pre-token is merged at most once per batch and seldom twice per task;
-    tokens are then laid out by index arithmetic.
+    Documents are taken in runs of bounded length. Each is dictionary-encoded, so a distinct pre-token is merged at most once
+    per run, and a frequent one seldom twice per task; tokens are then laid out by index arithmetic.
     """
     words = vocabulary(merges)
     ids = {piece: i for i, piece in enumerate(words)}
@@ -138,12 +141,12 @@ def _laid_out(merges: Merges, pieces: bool) -> Callable[[Iterator[pa.Array]], It
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         named = pa.array(words, pa.string())
 
-        @lru_cache(maxsize=500_000)
+        @lru_cache(maxsize=_REMEMBERED)
         def token_ids(word: str) -> tuple[int, ...]:
             return tuple(ids[piece] for piece in merge_word(word, ranks))
 
-        for batch in batches:
-            units = batch.flatten().dictionary_encode()
+        def laid_out(run: pa.Array) -> pa.Array:
+            units = run.flatten().dictionary_encode()
             encoded = [token_ids(word) for word in units.dictionary.to_pylist()]
             lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
             pool = np.fromiter((i for e in encoded for i in e), np.int32, lengths.sum())
@@ -156,9 +159,16 @@ def _laid_out(merges: Merges, pieces: bool) -> Callable[[Iterator[pa.Array]], It
             tokens = pa.array(pool[np.repeat(starts[which], sizes) + within])
 
             # Row limits count units; turn them into limits that count tokens.
-            rows = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False))])
+            rows = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(run), 0).to_numpy(zero_copy_only=False))])
             limits = np.concatenate([[0], ends])[rows]
-            yield pa.ListArray.from_arrays(pa.array(limits, pa.int32()), named.take(tokens) if pieces else tokens)
+            return pa.ListArray.from_arrays(pa.array(limits, pa.int32()), named.take(tokens) if pieces else tokens)
+
+        for batch in batches:
+            sizes = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
+            run = np.cumsum(sizes, dtype=np.int64) // _UNITS
+            cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(batch)]
+            for low, high in zip(cuts, cuts[1:]):
+                yield laid_out(batch.slice(low, high - low))
 
     return encode
 

@@ -1,3 +1,6 @@
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,3 +89,27 @@ def test_role_and_position_counts(docs):
     assert roles[("input", "a")] == 3 and roles[("label", "d")] == 1 and roles[("label", "e")] == 1
     places = {(r.token, r.position): r.n for r in counts.window_positions(found).collect()}
     assert places[("a", 0)] == 1 and places[("a", 1)] == 1 and places[("a", 2)] == 1
+
+
+@pytest.mark.parametrize("w", [1, 2, 3, 4, 5])
+def test_training_windows_count_rotations_and_windows_that_end_as_they_begin(docs, w):
+    rng = random.Random(w)
+    texts = [" ".join(rng.choice("abc"[: 1 + i % 3]) for _ in range(i)) for i in range(40)]
+    want = Counter()
+    for text in texts:
+        grams = sliding(text.split(), w + 1)
+        inputs, outputs = [t for g in grams for t in g[:-1]], [g[-1] for g in grams]
+        want.update(map(tuple, sliding(inputs, w) + sliding(outputs, w)))
+    found = windows.training_windows(windows.context_windows(corpus(docs, *texts), w), w).collect()
+    assert {tuple(r.tokens): r.weight for r in found} == want and len(found) == len(want)
+
+
+def test_training_windows_of_numbers_travel_in_one_shuffle(spark):
+    indexed = spark.range(30).select(F.col("id").alias("idx"), (F.col("id") % 4).alias("token"))
+    found = windows.training_windows(windows.context_windows(windows.listing_segments(indexed, "token", 4), 4), 4)
+    grams = sliding([i % 4 for i in range(30)], 5)
+    inputs, outputs = [t for g in grams for t in g[:-1]], [g[-1] for g in grams]
+    assert {tuple(r.tokens): r.weight for r in found.collect()} == Counter(map(tuple, sliding(inputs, 4) + sliding(outputs, 4)))
+    plain = spark.range(9).select(F.lit(0).alias("pos"), F.lit(True).alias("is_last"), F.array(*[F.lit(x) for x in "abcd"]).alias("input"), F.lit("e").alias("label"))
+    plan = windows.training_windows(plain, 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

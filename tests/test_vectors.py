@@ -2,6 +2,7 @@ import math
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -146,6 +147,24 @@ def test_top_similar_sends_vectors_and_short_lists_only(spark):
     assert all(len(r.best) == 6 and r.best[0].other == r.place for r in best.collect())
 
 
+def test_vectors_travel_once_per_group_of_stretches(spark, monkeypatch):
+    """Eight stretches to a group, and integers in doubles travel compressed; what they come to is still exact."""
+    groups, in_group, in_stretch = similarity._layout(3_000_000, 50, 12, 16 << 20)
+    assert groups <= 10 and groups * in_group >= 3_000_000
+    assert in_stretch * 400 <= 16 << 20 and in_group * 400 <= similarity._GROUP * (16 << 20)
+    rng = np.random.default_rng(6)
+    whole = rng.integers(-3, 4, size=(500, 50)).astype(float)
+    parts = [pa.record_batch([pa.array([0] * len(p)), pa.array(p.tolist()), pa.array([2.0] * len(p))], names=["low", "v", "norm"]) for p in np.split(whole, 4)]
+    (pack,) = similarity._pack(iter(parts))
+    vectors, norms = (pack.column(c)[0].as_py() for c in ("vectors", "norms"))
+    assert len(vectors) * 4 < whole.nbytes
+    assert np.array_equal(similarity._unpacked([(vectors, norms)], 50), whole / 2.0)
+    for name, value in (("_GROUP", 3), ("_PACK", 4), ("_TOGETHER", 2), ("_COLUMNS", 1 << 20)):
+        monkeypatch.setattr(similarity, name, value)
+    many = [(i, v) for i, v in enumerate(rng.normal(size=(150, 6)).tolist())]
+    check_top(spark, [*many, (500, [0.0] * 6), (-1, [0.0] * 6)], "long", chunk_bytes=10 * 48)
+
+
 @pytest.mark.parametrize("chunk_bytes", [1 << 20, 10 * 32])
 def test_top_similar_with_copies_zeros_and_scaled_copies(spark, chunk_bytes):
     rng = np.random.default_rng(2)

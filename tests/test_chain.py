@@ -161,6 +161,36 @@ def test_online_training_equals_a_plain_loop(spark, epochs, batch, steps, rounds
         assert all(len(v) == size and np.allclose(v, want[t], atol=1e-5) for t, v in rows.items())
 
 
+@pytest.mark.parametrize("few", [0, 1 << 20])
+def test_columns_are_added_by_token(few, monkeypatch):
+    monkeypatch.setattr(autoencoder, "_FEW_COUNTS", few)
+    rng = np.random.default_rng(1)
+    place, after = rng.integers(0, 7, (53, 3)), rng.integers(-(1 << 40), 1 << 40, (6, 3, 3))
+    want = np.zeros((7, 3), np.int64)
+    for row, window in enumerate(place):
+        for p, token in enumerate(window):
+            want[token] += after[row // 10][:, p]
+    assert (autoencoder._placed(place, 7, after, 10) == want).all()
+
+
+@pytest.mark.parametrize("largest,held", [(5, 1 << 20), (5, 100), (1 << 20, 100)])
+def test_windows_of_many_units_are_read_out_once(largest, held, monkeypatch):
+    """Equal windows of different units are gathered before they are read out; the number held is bounded."""
+    monkeypatch.setattr(autoencoder, "_HELD_WINDOWS", held)
+    rng = np.random.default_rng(2)
+    units = [rng.integers(0, largest + 1, (60, 2)).astype(np.int32) for _ in range(20)] + [np.zeros((0, 2), np.int32)]
+    found = list(autoencoder._gathered(iter(units)))
+    counted = Counter()
+    for ids, times in found:
+        assert len(ids) == len(times) <= held + 60
+        counted.update({tuple(row): 0 for row in ids.tolist()})
+        for row, n in zip(ids.tolist(), times.tolist()):
+            counted[tuple(row)] += n
+    assert counted == Counter(tuple(row) for unit in units for row in unit.tolist())
+    if largest == 5:
+        assert sum(len(ids) for ids, _ in found) == 36
+
+
 def test_many_steps_learn_more_than_one(spark):
     """After one epoch of local steps the loss is below that of one step per round over everything."""
     def after(**options):

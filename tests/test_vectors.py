@@ -211,6 +211,32 @@ def test_cooccurrence_with_and_without_vocabulary(spark, docs):
     assert {(r.word, r.context): r.n for r in tokens} == {(ids[a], ids[b]): n for (a, b), n in expected.items()}
 
 
+def travels_before_sums(frame):
+    """Whether all aggregates of a plan with one shuffle come after it."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange") == 1 and plan.rindex("Aggregate(") < plan.index("Exchange")
+
+
+def test_pairs_are_counted_in_runs_and_not_again_before_the_shuffle(spark, docs, monkeypatch):
+    texts = ["a b a c d e a a", "", "b a", "f", "c c c c c c c", "d c b a " * 9]
+    segments = windows.corpus_segments(docs(*texts), tx.words(F.col("text")), block=6, ahead=5)
+    monkeypatch.setattr(embeddings, "_SLICE_PAIRS", 16)
+    counts = embeddings.cooccurrence_counts(segments, 4)
+    assert travels_before_sums(counts)
+    assert {(r.word, r.context): r.n for r in counts.collect()} == plain_cooccurrence(texts, 4, set("abcdef"))
+
+
+def test_counted_pairs_of_nulls_and_numbers():
+    def counted(owned, rows, kind):
+        found = embeddings._counted_pairs(np.array(owned), pa.array(rows, pa.list_(kind)), 2)
+        return set(zip(*(x.to_pylist() for x in found)))
+
+    assert counted([2], [["b", None, "a"]], pa.string()) == {("b", "b", 1), ("a", "b", 1), ("a", "a", 1)}
+    assert counted([2, 2], [[None, None], [9, 10]], pa.int32()) == {(None, None, 1), (9, 10, 1)}
+    assert counted([0, 1], [[], ["x"]], pa.string()) == set()
+    assert list(embeddings._runs(iter([]), 5)) == []
+
+
 def test_random_index_is_linear_and_wide(spark):
     pairs = spark.createDataFrame([("w", "x", 2), ("w", "y", 3), ("u", "x", 1)], "word string, context string, n long")
     got = {r.word: np.array(r.vector) for r in embeddings.random_index(pairs, 120).collect()}

@@ -237,6 +237,12 @@ def test_counted_pairs_of_nulls_and_numbers():
     assert list(embeddings._runs(iter([]), 5)) == []
 
 
+def test_random_index_sums_where_a_word_is_whole(spark):
+    pairs = spark.createDataFrame([("w", "x", 2), (None, "x", 1)], "word string, context string, n long")
+    found = embeddings.random_index(pairs, 60)
+    assert travels_before_sums(found) and {r.word for r in found.collect()} == {"w", None}
+
+
 def test_random_index_is_linear_and_wide(spark):
     pairs = spark.createDataFrame([("w", "x", 2), ("w", "y", 3), ("u", "x", 1)], "word string, context string, n long")
     got = {r.word: np.array(r.vector) for r in embeddings.random_index(pairs, 120).collect()}

@@ -58,6 +58,15 @@ def test_second_level_windows_match_plain_sliding(docs, w):
     assert weighted == {x: both.count(x) for x in both}
 
 
+def test_flattened_windows_take_tokens_one_by_one(spark):
+    """No window is sliced and joined again for each of its places."""
+    found = spark.createDataFrame([(0, 0, list("abc"), False), (0, 1, list("bcd"), True)], "seq int, pos long, input array<string>, is_last boolean")
+    flat = windows.flattened_windows(found, 3)
+    plan = flat._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(" not in plan and "concat(" not in plan
+    assert sorted((r.idx, "".join(r.tokens)) for r in flat.collect()) == [(0, "abc"), (1, "bcb"), (2, "cbc"), (3, "bcd")]
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 6, 12, 13, 14, 15, 16, 17, 18, 36])
 def test_listing_windows_cross_segment_borders(spark, n):
     w, block = 4, 6

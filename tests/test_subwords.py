@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pyarrow as pa
+import numpy as np
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
@@ -173,3 +174,25 @@ def test_long_batches_are_laid_out_in_runs(monkeypatch):
     monkeypatch.setattr(subwords, "_UNITS", 3)
     runs = [run.to_pylist() for run in subwords._laid_out(merges, pieces=True)(iter([batch]))]
     assert len(runs) > 2 and [x for run in runs for x in run] == whole
+
+
+def test_training_passes_carry_out_few_merges_and_count_pairs_once(spark, monkeypatch):
+    letters = np.random.default_rng(3)
+    words = ["".join(letters.choice(list("abcdefgh"), p=[0.3, 0.2, 0.15, 0.1, 0.1, 0.05, 0.05, 0.05], size=6)) for _ in range(300)]
+    counted = spark.createDataFrame([(w, 1 + i % 7) for i, w in enumerate(sorted(set(words)))], "piece string, frequency long")
+    passes = []
+    changes = subwords._changes
+
+    def recorded(split, done, tried):
+        passes.append((len(done), len(tried)))
+        return changes(split, done, tried)
+
+    monkeypatch.setattr(subwords, "_changes", recorded)
+    monkeypatch.setattr(subwords, "_REWRITTEN", 8)
+    merges = subwords.merges_of_pieces(counted, 40)
+    assert len(merges) == 40
+    assert [done for done, tried in passes if not tried] == [0]
+    assert max(done for done, _ in passes) < 8
+    assert min(tried for _, tried in passes[2:4]) < 32
+    monkeypatch.setattr(subwords, "_changes", changes)
+    assert merges == subwords.merges_of_pieces(counted, 40, tried=1)

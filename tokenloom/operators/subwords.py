@@ -27,9 +27,10 @@ Merges = list[tuple[str, str]]
 ALPHABET = string.ascii_lowercase + string.digits
 # Ids of symbols while merges are learnt: characters by code point, merged pieces from here on.
 _FIRST_MERGED = 0x110000
-# Merges that a pass of the training tries, and merges after which the split pre-tokens are written anew.
+# Merges that a pass of the training tries, at most and at least, and merges after which the split pre-tokens are written anew.
 _TRIED = 32
-_REWRITTEN = 256
+_TRIED_LEAST = 4
+_REWRITTEN = 32
 # Pre-tokens of a batch of documents that are laid out at a time, and those whose tokens a task remembers.
 _UNITS = 1 << 17
 _REMEMBERED = 1 << 16
@@ -437,9 +438,11 @@ def merges_of_pieces(counted: DataFrame, n_merges: int, tried: int = _TRIED) ->
     another where they occur, and returns by how much each of them changes which counts. The driver replays these
     changes: it takes a merge if it is in fact the most frequent pair at that point and drops the rest at the first that
     is not, so the result is that of one merge at a time. The driver holds pairs that can come up within the merges
-    left, not all; if others could, pairs are counted anew.
+    left, not all; if others could, pairs are counted anew. A pass tries twice as many merges as the one before it kept, and
+    every so many merges the pre-tokens are written as they are by then, so a pass carries out few merges besides those it keeps.
     """
     n_merges = max(0, n_merges)
+    trying = tried
     tasks = max(counted.sparkSession.sparkContext.defaultParallelism, int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     split = materialise(_split(counted.filter(F.length("piece") > 1).repartition(tasks, "piece")))
     merges: Merges = []
@@ -451,7 +454,8 @@ def merges_of_pieces(counted: DataFrame, n_merges: int, tried: int = _TRIED) ->
             pairs = _counted_pairs(split, done, 2 * (n_merges - len(merges)) + 1000, pieces)
             if pairs.best() is None:
                 return merges
-        guesses = pairs.likely(min(tried, n_merges - len(merges)))
+        guesses = pairs.likely(min(trying, n_merges - len(merges)))
+        known = len(merges)
         changes = defaultdict(list)
         for row in _changes(split, done, guesses).collect():
             changes[row.step].append(((row.left, row.right), row.frequency))
@@ -465,10 +469,12 @@ def merges_of_pieces(counted: DataFrame, n_merges: int, tried: int = _TRIED) ->
                 pairs.fresh.add(new)
             for pair, amount in changes[number]:
                 pairs.add(pair, amount)
+        trying = min(tried, max(_TRIED_LEAST, 2 * (len(merges) - known)))
         if pairs.best() is None and pairs.last[0]:
             pairs = None
         elif pairs.best() is None:
             return merges
-        if len(done) >= _REWRITTEN:
-            split, done, pairs = materialise(_rewritten(split, done)), [], None
+        if len(done) >= _REWRITTEN and len(merges) < n_merges:
+            # The counts are those of the same pieces, so they stay.
+            split, done = materialise(_rewritten(split, done)), []
     return merges

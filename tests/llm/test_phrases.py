@@ -129,3 +129,45 @@ def test_query_equals_sql(spark):
     assert got.columns == want.columns
     rows = sorted(map(tuple, got.collect()))
     assert rows and rows == sorted(want.fetchall())
+
+
+def test_a_task_sends_one_count_of_a_phrase_however_many_partitions_it_reads(spark, monkeypatch):
+    rows = made(3, 400)
+    texts = spark.createDataFrame([("en", text) for _, text in rows], SCHEMA)
+    every = phrases.Bloom(np.full(16, 2**64 - 1, np.uint64), 4)
+    want = Counter()
+    for _, text in rows:
+        for piece in re.split(r"[.,;:!?\n]", text.lower()):
+            words = piece.split()
+            want.update(" ".join(words[i : i + k]) for k in (2, 3) for i in range(len(words) - k + 1))
+    sent = {}
+    for partitions in (8, 96):
+        counted = phrases._global_counts(texts.repartition(partitions), every, every, 8000, 3)
+        assert {r.phrase: r.a for r in counted.collect()} == want
+        local = texts.repartition(partitions)
+        monkeypatch.setattr(type(local), "groupBy", lambda self, *by: self)
+        monkeypatch.setattr(type(local), "agg", lambda self, *by: self)
+        sent[partitions] = phrases._global_counts(local, every, every, 8000, 3).count()
+        monkeypatch.undo()
+    assert sent[96] < 1.2 * sent[8]
+
+
+@pytest.mark.parametrize("held", [1, 7, 1000])
+def test_counts_are_added_up_within_bounds(monkeypatch, held):
+    monkeypatch.setattr(phrases, "_HELD_COUNTS", held)
+    rng = np.random.default_rng(5)
+    keys, counts = rng.integers(0, 40, 500), rng.integers(1, 9, 500)
+
+    def batch(i):
+        part = slice(i, i + 9)
+        columns = [["en"] * len(keys[part]), [f"p {k}" for k in keys[part]], [2] * len(keys[part]), counts[part]]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, phrases._COUNTS)], schema=phrases._COUNTS)
+
+    got, want, rows = Counter(), Counter(), 0
+    for part in phrases._added(map(batch, range(0, 500, 9))):
+        rows += part.num_rows
+        for p, a in zip(part.column(1).to_pylist(), part.column(3).to_pylist()):
+            got[p] += a
+    for k, c in zip(keys.tolist(), counts.tolist()):
+        want[f"p {k}"] += c
+    assert got == want and (rows == len(want) if held == 1000 else rows > len(want))

@@ -8,7 +8,7 @@ than the support, shares fall to one occurrence, shards leave nothing out and th
 
 The union travels as a Bloom filter of bounded size over 64-bit hashes, first of frequent words, then of phrases. A filter lets
 a few others pass, never drops one; the last pass counts every phrase that passes by its words, over all texts, and those
-below the support go. So hashes and filters change the work, not the result.
+below the support go. There a task adds up its counts over many shards before they travel. So hashes and filters change the work, not the result.
 """
 
 from __future__ import annotations
@@ -33,6 +33,11 @@ TOP = 2000
 COVER_PERCENT = 100
 UNKNOWN = "und"
 SHARD_WORDS = 6_000_000
+#: Words of the shards in which candidates are counted, and of all the texts whose counts one task adds up.
+COUNT_WORDS = 2_000_000
+TASK_WORDS = 50_000_000
+#: Counts of phrases that a task holds before it hands them on.
+_HELD_COUNTS = 1 << 20
 #: Bytes of text that are split into words at a time.
 _SLICE_BYTES = 8 << 20
 #: Counters of places by hash, to pass over rare phrases: two to this many.
@@ -109,8 +114,9 @@ def _flush(held: dict[str, list[tuple[pa.Array, np.ndarray]]]) -> list[Shard]:
     return shards
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list[Shard]]:
-    """The rows ``(lang, text)`` of a task as shards, each a list with one entry per language."""
+def _shards(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[list[Shard]]:
+    """The rows ``(lang, text)`` of a task as shards of ``most`` words, each a list with one entry per language."""
+    most = SHARD_WORDS if most is None else most
     held: dict[str, list[tuple[pa.Array, np.ndarray]]] = {}
     n = 0
     for batch in batches:
@@ -122,7 +128,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list[Shard]]:
                 if len(words):
                     held.setdefault(lang, []).append((words, pieces))
                     n += len(words)
-                if n >= SHARD_WORDS:
+                if n >= most:
                     shards = _flush(held)
                     held, n = {}, 0
                     yield shards
@@ -246,19 +252,49 @@ def _local_phrases(texts: DataFrame, words: Bloom, total: int, support: int, max
     return found.groupBy("hash").agg(F.sum("above").alias("above"), F.sum("missed").alias("missed"))
 
 
-def _global_counts(texts: DataFrame, words: Bloom, phrases: Bloom, max_words: int) -> DataFrame:
-    """``(lang, phrase, size, a)`` of every phrase that the filter lets pass, over all texts."""
+_COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("a", pa.int64())])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts ``(lang, phrase, size, a)`` with those of one phrase added up, as far as ``_HELD_COUNTS`` distinct ones are held."""
+    held, n, full = [], 0, _HELD_COUNTS
+
+    def together() -> pa.Table:
+        found = pa.Table.from_batches(held, _COUNTS).group_by(["lang", "phrase", "size"], use_threads=False).aggregate([("a", "sum")])
+        return found.rename_columns(["lang", "phrase", "size", "a"])
+
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= full:
+            found = together()
+            held, n = found.to_batches(), found.num_rows
+            if n >= _HELD_COUNTS:
+                yield from held
+                held, n = [], 0
+            full = n + _HELD_COUNTS
+    if held:
+        yield from together().to_batches()
+
+
+def _global_counts(texts: DataFrame, words: Bloom, phrases: Bloom, total: int, max_words: int) -> DataFrame:
+    """``(lang, phrase, size, a)`` of every phrase that the filter lets pass, over all texts.
+
+    Most candidates stand in most tasks, so what is sent grows with the number of tasks. A task therefore reads up to
+    ``TASK_WORDS`` words, as long as every core has one, and adds up its counts before they travel.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shards in _shards(batches):
+        for shards in _shards(batches, min(COUNT_WORDS, SHARD_WORDS)):
             for s in shards:
                 for k, first, _, counts in _levels(s, words, max_words, 1, phrases.holds):
                     parts = [s.words.take(pa.array(s.ids[first + i])) for i in range(k)]
                     phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())).cast(pa.string())
-                    size = np.full(len(counts), k, np.int32)
-                    yield _rows(["lang", "phrase", "size", "a"], [pa.array([s.lang] * len(counts), pa.string()), phrase, size, counts])
+                    columns = [pa.array([s.lang] * len(counts), pa.string()), phrase, pa.array(np.full(len(counts), k, np.int32))]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], schema=_COUNTS)
 
-    found = texts.mapInArrow(count, "lang string, phrase string, size int, a long")
+    tasks = max(texts.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_WORDS))
+    found = texts.coalesce(tasks).mapInArrow(lambda batches: _added(count(batches)), "lang string, phrase string, size int, a long")
     return found.groupBy("lang", "phrase", "size").agg(F.sum("a").alias("a"))
 
 
@@ -282,7 +318,7 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, max_words: int = M
     union = materialise(local.filter(F.col("hash").isNull() | (F.col("above") >= 1)))
     slack = union.filter("hash IS NULL").agg(F.sum("missed")).first()[0] or 0
     phrases = bloom(union.filter(F.col("hash").isNotNull() & (F.col("above") + slack >= support)), "hash")
-    more = _global_counts(texts, words, phrases, max_words).filter(F.col("a") >= support)
+    more = _global_counts(texts, words, phrases, total, max_words).filter(F.col("a") >= support)
     return materialise(ones.unionByName(more))
 
 

@@ -111,3 +111,31 @@ def test_any_literal_delimiter(raw, delimiter):
     line = delimiter.join(["a", "", "b", "", ""])
     got = raw(line, delimiter * 3, "").select(lines.fields(F.col("value"), delimiter).alias("f")).collect()
     assert [r.f for r in got] == [["a", "", "b"], [], []]
+
+
+def test_no_task_reads_all_of_a_single_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "_PIECE_BYTES", 1000)
+    path, sc = str(tmp_path / "one"), spark.sparkContext
+    rows = spark.range(3000).repartition(6).select(F.concat(F.lit("ü "), F.lpad(F.col("id").cast("string"), 5, "0")).alias("value"))
+    for order in (None, "value"):
+        group = f"single-{order}"
+        sc.setJobGroup(group, group)
+        # So few rows would be put into one partition for their size.
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            sinks.write_lines(rows, path, partitions=1, order=order)
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        jobs = sc.statusTracker().getJobIdsForGroup(group)
+        infos = [sc.statusTracker().getStageInfo(s) for j in jobs for s in sc.statusTracker().getJobInfo(j).stageIds]
+        assert infos and min(i.numTasks for i in infos if i) > 1
+        files = [f for f in os.listdir(path) if not f.startswith((".", "_"))]
+        assert len(files) == 1 and [p.name for p in tmp_path.iterdir()] == ["one"]
+        with open(os.path.join(path, files[0]), encoding="utf-8") as f:
+            got = f.read().split("\n")
+        want = [f"ü {i:05d}" for i in range(3000)] + [""]
+        assert got == want if order else sorted(got) == sorted(want) and got[-1] == ""
+    sinks.write_lines(rows.limit(0), path, partitions=1)
+    assert len([f for f in os.listdir(path) if f.startswith("part")]) == 1
+    assert lines.read_lines(spark, path).count() == 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 
 from tokenloom.params import Params
 
+#: Bytes of a part that one task copies into a single file.
+_PIECE_BYTES = 64 << 20
+
 
 def render_frequencies(df: DataFrame, params: Params = Params()) -> DataFrame:
     """``word \\t token \\t frequency``"""
@@ -58,9 +62,14 @@ def write_lines(
     """Write ``value`` as text, replacing what is there once all of it is written.
 
     ``order`` sorts the whole output by that column over any number of files; ``partitions`` fixes the file count,
-    1 giving a single totally ordered file as a last step. ``observation`` gets the number of rows, ``n``. Lines are written
+    1 giving a single totally ordered file as a last step: written in parts that tasks copy to their places where files have paths
+    (``file:``), elsewhere by one task. ``observation`` gets the number of rows, ``n``. Lines are written
     beside the target, which readers pass over, and take its name at the end: if writing fails, the target is as it was.
     """
+    joined = partitions == 1 and _file_system(df.sparkSession, path)[0].getUri().getScheme() == "file"
+    if joined:
+        # Every task writes a part, as many as there are, and the parts are put into one file at their places.
+        partitions = None
     if order is not None:
         by_range = df.repartitionByRange(partitions, order) if partitions else df.repartitionByRange(order)
         df = by_range.sortWithinPartitions(order)
@@ -69,14 +78,57 @@ def write_lines(
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("n"))
     beside = _sibling(path, "new")
+    parts = _sibling(path, "parts") if joined else beside
     try:
-        df.select("value").write.text(beside)
+        df.select("value").write.text(parts)
+        if joined:
+            _join(df.sparkSession, parts, beside)
     except BaseException:
         _remove(df.sparkSession, beside)
+        _remove(df.sparkSession, parts)
         raise
+    if joined:
+        _remove(df.sparkSession, parts)
     _replace(df.sparkSession, beside, path)
 
 
+def _join(spark: SparkSession, parts: str, folder: str) -> None:
+    """Put the files of the folder ``parts``, by name, into one file of the new ``folder``, both on a shared file system with paths.
+
+    Each task copies a piece of bounded size to its place, so none reads the whole. A repeated task writes the same bytes again.
+    """
+    files, place = _file_system(spark, parts)
+    found = sorted((s.getPath().getName(), s.getPath().toUri().getPath(), s.getLen()) for s in files.listStatus(place))
+    found = [f for f in found if not f[0].startswith(("_", "."))]
+    _, new = _file_system(spark, folder)
+    files.mkdirs(new)
+    target = f"{new.toUri().getPath()}/{found[0][0] if found else 'part-00000.txt'}"
+    pieces, at = [], 0
+    for _, source, size in found:
+        pieces += [(source, begin, min(_PIECE_BYTES, size - begin), at + begin) for begin in range(0, size, _PIECE_BYTES)]
+        at += size
+
+    def copy(piece: tuple[str, int, int, int]) -> None:
+        source, begin, left, to = piece
+        out = os.open(target, os.O_WRONLY | os.O_CREAT, 0o644)
+        with os.fdopen(out, "wb") as file:
+            file.seek(to)
+            if not left:
+                return
+            with open(source, "rb") as read:
+                read.seek(begin)
+                while left:
+                    data = read.read(min(left, 1 << 20))
+                    if not data:
+                        raise OSError(f"{source} is shorter than it was")
+                    file.write(data)
+                    left -= len(data)
+
+    # Without a byte there is still a file.
+    pieces = pieces or [("", 0, 0, 0)]
+    spark.sparkContext.parallelize(pieces, len(pieces)).foreach(copy)
+
+
 def _sibling(path: str, kind: str) -> str:
     """A new hidden name in the folder of ``path``."""
     parent, slash, name = path.rstrip("/").rpartition("/")

@@ -171,3 +171,46 @@ def test_counts_are_added_up_within_bounds(monkeypatch, held):
     for k, c in zip(keys.tolist(), counts.tolist()):
         want[f"p {k}"] += c
     assert got == want and (rows == len(want) if held == 1000 else rows > len(want))
+
+
+def test_a_task_mines_all_its_partitions_as_one_shard(spark):
+    """One shard of each task takes the task's share; by partition the shares fall to one and nearly every phrase is sent."""
+    rng = np.random.default_rng(8)
+    rows = [("en", " ".join(f"w{x}" for x in rng.integers(0, 40, 60)) + " new york") for _ in range(960)]
+    cores = spark.sparkContext.defaultParallelism
+    every = phrases.Bloom(np.full(16, 2**64 - 1, np.uint64), 4)
+    texts = spark.createDataFrame(rows, SCHEMA).repartition(96)
+    local = phrases._local_phrases(texts, every, 960 * 62, 100, 5)
+    assert local.filter("hash IS NULL").first().missed >= 100 - 3 * cores
+    # The one frequent phrase, and those that chance brings to a share of about twelve: few of 1,600 pairs and more triples.
+    found = local.filter("hash IS NOT NULL")
+    assert 1 <= found.count() < 500 and found.agg(F.max("above")).first()[0] >= 960 - 100
+
+
+@pytest.mark.parametrize("least,places,words", [(1, 1 << 21, 10**7), (2, 7, 10**7), (4, 50, 90)])
+def test_mined_phrases_are_those_that_occur_often_enough_in_a_shard(monkeypatch, least, places, words):
+    monkeypatch.setattr(phrases, "_PLACES", places)
+    monkeypatch.setattr(phrases, "MINED_WORDS", words)
+    monkeypatch.setattr(phrases, "COUNT_WORDS", 40)
+    monkeypatch.setattr(phrases, "_SLICE_BYTES", 64)
+    rows = made(9, 80)
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] or "und" for r in rows]), pa.array([r[1] for r in rows])], names=["lang", "text"])
+    every = phrases.Bloom(np.full(16, 2**64 - 1, np.uint64), 4)
+    total, got = 0, Counter()
+    for n, lines in phrases._lines(iter([batch]), every):
+        total += n
+        for line in lines:
+            for hashes, counts in phrases._mined(line, 4, least):
+                assert (counts >= least).all() and len(set(hashes.tolist())) == len(hashes)
+                got.update(dict(zip(hashes.tolist(), counts.tolist())))
+    want, n_words = Counter(), 0
+    for shards in phrases._shards(iter([batch])):
+        for s in shards:
+            n_words += len(s.ids)
+            for _, _, hashes, counts in phrases._levels(s, every, 4, 1, lambda h: np.ones(len(h), bool)):
+                want.update(dict(zip(hashes.tolist(), counts.tolist())))
+    assert total == n_words
+    if words == 10**7:
+        assert got == {h: a for h, a in want.items() if a >= least}
+    else:
+        assert got and all(a <= want[h] for h, a in got.items())

@@ -1,6 +1,6 @@
 """Phrase collocations by SON partitioning: mine shards on their own, then count what they found over everything.
 
-A shard is what one task gathers, up to ``SHARD_WORDS`` words. A phrase with ``support`` occurrences in all shards reaches, in
+A shard is what one task gathers, up to ``MINED_WORDS`` words, kept as numbers. A phrase with ``support`` occurrences in all shards reaches, in
 at least one shard, the share of the support that the shard has of all words; so every shard is mined completely, level
 by level, at its share, rounded down. What a shard leaves out occurs less often there than its share, which bounds the count of a phrase
 from above; the union of the shards' phrases keeps those whose bound reaches the support. Where there are more shards
@@ -36,12 +36,16 @@ SHARD_WORDS = 6_000_000
 #: Words of the shards in which candidates are counted, and of all the texts whose counts one task adds up.
 COUNT_WORDS = 2_000_000
 TASK_WORDS = 50_000_000
+#: Words of the shards that are mined.
+MINED_WORDS = 32_000_000
+#: Places of a shard that are hashed at a time.
+_PLACES = 1 << 20
 #: Counts of phrases that a task holds before it hands them on.
 _HELD_COUNTS = 1 << 20
 #: Bytes of text that are split into words at a time.
 _SLICE_BYTES = 8 << 20
 #: Counters of places by hash, to pass over rare phrases: two to this many.
-_COUNTER_BITS = 21
+_COUNTER_BITS = 22
 #: A Bloom filter has at most two to this many words of 64 bits (16 MB).
 _FILTER_BITS = 21
 #: Languages up to which their totals are broadcast.
@@ -172,12 +176,82 @@ def bloom(hashes: DataFrame, column: str) -> Bloom:
     return Bloom(out, bits)
 
 
-def _often(hashes: np.ndarray, least: int) -> np.ndarray:
-    """Which hashes share a counter with ``least`` or more, themselves included."""
-    if least < 2:
-        return np.ones(len(hashes), bool)
-    counter = (hashes >> np.uint64(64 - _COUNTER_BITS)).astype(np.int64)
-    return np.bincount(counter, minlength=1 << _COUNTER_BITS)[counter] >= least
+@dataclass
+class Line:
+    """The frequent words of one language in a shard, in order, as places in ``hashes``; -1 stands where no phrase goes on."""
+
+    codes: np.ndarray
+    hashes: np.ndarray
+
+
+def _lines(batches: Iterator[pa.RecordBatch], words: Bloom) -> Iterator[tuple[int, list[Line]]]:
+    """The words of a task, up to ``MINED_WORDS`` at a time: how many, and the line of each language. It holds four bytes a word."""
+    places: dict[str, dict[int, int]] = {}
+    held: dict[str, list[np.ndarray]] = {}
+    n = 0
+
+    def flush() -> tuple[int, list[Line]]:
+        # Language by language, so that little is held twice.
+        return n, [Line(np.concatenate(held.pop(lang)), np.fromiter(places[lang], np.uint64, len(places[lang]))) for lang in [*held]]
+
+    for shards in _shards(batches, min(COUNT_WORDS, SHARD_WORDS)):
+        for s in shards:
+            known = places.setdefault(s.lang, {})
+            frequent = words.holds(s.hashes)
+            coded = np.full(len(s.hashes), -1, np.int32)
+            coded[frequent] = [known.setdefault(h, len(known)) for h in s.hashes[frequent].tolist()]
+            cuts = np.flatnonzero(s.pieces[1:] != s.pieces[:-1]) + 1
+            codes = np.concatenate((np.insert(coded[s.ids], cuts, np.int32(-1)), np.full(1, -1, np.int32)))
+            # A word alone makes no phrase, and one -1 is enough.
+            inside = codes >= 0
+            joined = np.concatenate(([False], inside[:-1])) | np.concatenate((inside[1:], [False]))
+            codes = np.where(inside & joined, codes, np.int32(-1))
+            codes = codes[(codes >= 0) | np.concatenate(([False], codes[:-1] >= 0))]
+            held.setdefault(s.lang, []).append(codes)
+            n += len(s.ids)
+        if n >= MINED_WORDS:
+            yield flush()
+            places, held, n = {}, {}, 0
+    if n:
+        yield flush()
+
+
+def _mined(line: Line, max_words: int, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes and counts of the phrases of 2 words and more that occur ``least`` times, by their hashes, level by level.
+
+    A place is looked at only where both parts of one word less may be frequent, by counters that several hashes can share.
+    """
+    n = len(line.codes)
+    bits = min(_COUNTER_BITS, max(4, n.bit_length()))
+    alive = line.codes >= 0
+
+    def hashed(k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for begin in range(0, n - 1, _PLACES):
+            part = alive[begin : begin + _PLACES + 1]
+            at = np.flatnonzero(part[:-1] & part[1:]) + begin
+            h = line.hashes[line.codes[at]]
+            for i in range(1, k):
+                h = _mixed(h, line.hashes[line.codes[at + i]])
+            yield at, h, (h >> np.uint64(64 - bits)).astype(np.int64)
+
+    for k in range(2, max_words + 1):
+        counters = np.zeros(1 << bits, np.int64)
+        for _, _, counter in hashed(k):
+            counters += np.bincount(counter, minlength=1 << bits)
+        likely = counters >= least
+        after = np.zeros(n, bool)
+        found = []
+        for at, h, counter in hashed(k):
+            passing = likely[counter]
+            after[at[passing]] = True
+            found.append(np.unique(h[passing], return_counts=True))
+        if not after.any():
+            return
+        hashes, which = np.unique(np.concatenate([h for h, _ in found]), return_inverse=True)
+        counts = np.bincount(which, np.concatenate([c for _, c in found]), len(hashes)).astype(np.int64)
+        keep = counts >= least
+        yield hashes[keep], counts[keep]
+        alive = after
 
 
 def _levels(
@@ -236,19 +310,22 @@ def _word_counts(texts: DataFrame) -> DataFrame:
 def _local_phrases(texts: DataFrame, words: Bloom, total: int, support: int, max_words: int) -> DataFrame:
     """What shards find at their share of the support: ``(hash, above, missed)``.
 
+    The larger a shard, the larger its share and the fewer phrases reach it by chance; so a task reads as many words as it can hold.
+
     ``above`` is the count less what a shard may leave out (``missed``), which stands in a row without a hash for each shard.
     """
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["hash", "above", "missed"]
-        for shards in _shards(batches):
-            share = max(1, support * sum(len(s.ids) for s in shards) // max(1, total))
+        for n, lines in _lines(batches, words):
+            share = max(1, support * n // max(1, total))
             yield _rows(names, [pa.array([None], pa.int64()), [0], [share - 1]])
-            for s in shards:
-                for _, _, hashes, counts in _levels(s, words, max_words, share, lambda h: _often(h, share)):
+            for line in lines:
+                for hashes, counts in _mined(line, max_words, share):
                     yield _rows(names, [hashes.view(np.int64), counts - (share - 1), np.zeros(len(counts), np.int64)])
 
-    found = texts.mapInArrow(mine, "hash long, above long, missed long")
+    tasks = max(texts.sparkSession.sparkContext.defaultParallelism, -(-total // MINED_WORDS))
+    found = texts.coalesce(tasks).mapInArrow(mine, "hash long, above long, missed long")
     return found.groupBy("hash").agg(F.sum("above").alias("above"), F.sum("missed").alias("missed"))
 
 

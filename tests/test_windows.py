@@ -1,11 +1,13 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tokenloom.functions import text as tx
-from tokenloom.operators import counts, ordering, windows
+from tokenloom.operators import counts, grams, ordering, windows
 
 
 def sliding(items, w):
@@ -122,3 +124,39 @@ def test_training_windows_of_numbers_travel_in_one_shuffle(spark):
     plain = spark.range(9).select(F.lit(0).alias("pos"), F.lit(True).alias("is_last"), F.array(*[F.lit(x) for x in "abcd"]).alias("input"), F.lit("e").alias("label"))
     plan = windows.training_windows(plain, 4)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_training_windows_leave_a_run_as_one_packed_table_for_each_bucket(docs):
+    """What travels are tables of a run's windows by bucket, not rows of joined tokens."""
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice("abcdefghij") for _ in range(60)) for _ in range(40)]
+    found = windows.training_windows(windows.context_windows(corpus(docs, *texts).coalesce(1), 4), 4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(bucket" in plan
+    want = Counter()
+    for text in texts:
+        g = sliding(text.split(), 5)
+        want.update(map(tuple, sliding([t for x in g for t in x[:-1]], 4) + sliding([x[-1] for x in g], 4)))
+    assert {tuple(r.tokens): r.weight for r in found.collect()} == want
+
+
+@pytest.mark.parametrize("at_a_time", [3, 1 << 22])
+def test_tables_of_many_runs_are_put_together_in_passes(monkeypatch, at_a_time):
+    monkeypatch.setattr(grams, "_PASS", at_a_time)
+    rng, want, tables = random.Random(1), Counter(), []
+
+    def homes(hashes, ids):
+        return grams.mixed(hashes[ids].sum(0))
+
+    for _ in range(6):
+        rows = Counter(tuple(rng.choice(["a", "b", None, "ü"]) for _ in range(3)) for _ in range(30))
+        want.update(rows)
+        words, ids = grams.coded(pa.array([t for row in rows for t in row], pa.string()))
+        ids, n = ids.reshape(-1, 3).T, np.array(list(rows.values())) << 20
+        for batch in grams.deal([words], ids, n, homes(grams.token_hashes(words), ids), 2):
+            tables.append(batch)
+    got = []
+    for packed, size in grams.by_bucket(sorted(tables, key=lambda t: t.column(0)[0].as_py())):
+        for words, ids, n in grams.whole(packed, size, 2, homes):
+            got += zip(zip(*(words.take(pa.array(row)).to_pylist() for row in ids)), n.tolist())
+    assert dict(got) == {row: n << 20 for row, n in want.items()} and len(got) == len(want)

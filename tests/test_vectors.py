@@ -285,3 +285,9 @@ def test_vectors_that_cannot_be_compared(spark):
             similarity.top_similar(broken, "id", "v", 1)
         with pytest.raises((PySparkException, ValueError)):
             vec.mean_vectors(broken, "id", "v").collect()
+
+
+def test_pairs_travel_as_packed_tables_of_a_run(docs):
+    segments = windows.corpus_segments(docs("a b a c d e a a", "b a"), tx.words(F.col("text")))
+    plan = embeddings.cooccurrence_counts(segments, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(bucket" in plan and "MapInArrow add" in plan

@@ -1,3 +1,4 @@
+import hashlib
 import math
 from fractions import Fraction
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import vectors as vec
 from tokenloom.functions import text as tx
-from tokenloom.operators import embeddings, similarity, windows
+from tokenloom.operators import embeddings, grams, similarity, windows
 
 
 def cosine(spark, a, b):
@@ -291,3 +292,34 @@ def test_pairs_travel_as_packed_tables_of_a_run(docs):
     segments = windows.corpus_segments(docs("a b a c d e a a", "b a"), tx.words(F.col("text")))
     plan = embeddings.cooccurrence_counts(segments, 4)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(bucket" in plan and "MapInArrow add" in plan
+
+
+def test_random_index_of_packed_pairs_adds_up_the_signs_of_contexts(spark):
+    """Keys and contexts may be null or repeat; numbers of both kinds of key are the sums of md5 bits."""
+    rows = [(i % 7 if i % 5 else None, f"c{i % 11}" if i % 3 else None, i) for i in range(200)]
+
+    def sign(context, d):
+        text = f"{d // 52}" if context is None else f"{context}:{d // 52}"
+        return (int(hashlib.md5(text.encode()).hexdigest()[:13], 16) >> d % 52 & 1) * 2 - 1
+
+    want = {}
+    for key, context, n in rows:
+        want[key] = want.get(key, 0) + n * np.array([sign(context, d) for d in range(60)])
+    for kind, made in (("long", lambda k: k), ("string", lambda k: None if k is None else f"k{k}")):
+        pairs = spark.createDataFrame([(made(k), c, n) for k, c, n in rows], f"word {kind}, context string, n long")
+        found = embeddings.random_index(pairs, 60)
+        assert "Exchange hashpartitioning(bucket" in found._jdf.queryExecution().executedPlan().toString()
+        assert {r.word: r.vector for r in found.collect()} == {made(k): v.tolist() for k, v in want.items()}
+
+
+def test_sums_of_packed_pairs_are_put_together_as_tables_come(monkeypatch):
+    monkeypatch.setattr(embeddings, "_SUMMED_PAIRS", 2)
+    tables = []
+    for keys in (["b", "a"], ["c", "a", "d"], ["a"], ["e", "b", "c", "f", "g"]):
+        ids = np.stack((np.arange(len(keys)), np.zeros(len(keys), np.int64)))
+        tables.append(grams.pack([pa.array(keys), pa.array(["x"])], ids, np.arange(1, len(keys) + 1)))
+    keys, sums = embeddings._signed_sums(iter(tables), 52)
+    sign = embeddings._sign_rows(["x"], 52)[0]
+    assert {k: (s * sign).tolist() for k, s in zip(keys.to_pylist(), sums)} == {
+        k: [n] * 52 for k, n in {"a": 5, "b": 3, "c": 4, "d": 3, "e": 1, "f": 4, "g": 5}.items()
+    }

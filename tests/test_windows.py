@@ -156,7 +156,7 @@ def test_tables_of_many_runs_are_put_together_in_passes(monkeypatch, at_a_time):
         for batch in grams.deal([words], ids, n, homes(grams.token_hashes(words), ids), 2):
             tables.append(batch)
     got = []
-    for packed, size in grams.by_bucket(sorted(tables, key=lambda t: t.column(0)[0].as_py())):
-        for words, ids, n in grams.whole(packed, size, 2, homes):
+    for packed in grams.by_bucket(sorted(tables, key=lambda t: t.column(0)[0].as_py())):
+        for words, ids, n in grams.whole(packed, 2, homes):
             got += zip(zip(*(words.take(pa.array(row)).to_pylist() for row in ids)), n.tolist())
     assert dict(got) == {row: n << 20 for row, n in want.items()} and len(got) == len(want)
